@@ -44,6 +44,11 @@ def _missing(budget: float, longer: Column) -> Column:
     return F.floor(F.lit(budget) * longer).cast("int")
 
 
+def _let(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once, although the body uses it often."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _letters(c: Column) -> Column:
     return F.array_sort(F.filter(F.split(c, ""), lambda x: x != ""))
 
@@ -73,16 +78,21 @@ def _block_keys(value: Column, letters: Column, longer_role: bool, threshold: fl
                     F.filter(letters, lambda x: F.pmod(F.ascii(x), classes) == k), ""
                 ),
             )
-            two = F.flatten(
-                F.transform(
-                    parts,
-                    lambda p, i: F.transform(
-                        F.slice(parts, i + 2, F.size(parts)),
-                        lambda q, j: F.concat_ws("|", i.cast("string"), j.cast("string"), p, q),
-                    ),
-                )
+            start = F.concat(head, m.cast("string"))
+            return _let(
+                parts,
+                lambda ps: F.flatten(
+                    F.transform(
+                        ps,
+                        lambda p, i: F.transform(
+                            F.slice(ps, i + 2, F.size(ps)),
+                            lambda q, j: F.concat_ws(
+                                "|", start, i.cast("string"), j.cast("string"), p, q
+                            ),
+                        ),
+                    )
+                ),
             )
-            return F.transform(two, lambda t: F.concat(head, m.cast("string"), F.lit("|"), t))
 
         keys = F.flatten(F.transform(lengths, of_length))
         return F.when(size >= prefix, keys).otherwise(F.array().cast("array<string>"))
