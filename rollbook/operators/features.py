@@ -61,17 +61,15 @@ def stem_rows(
     return stemmed.select(key, F.concat(F.lit(prefix), "stem").alias("stem")).distinct()
 
 
-def vocabulary(words: DataFrame, word: str = "word", buckets: int = 1024) -> DataFrame:
+def vocabulary(words: DataFrame, word: str = "word") -> DataFrame:
     """(word, index): 0-based place of each distinct word in sorted order.
 
-    Pieces are leading code points folded into `buckets` ranges, monotone in the word.
+    Pieces are the first two code points of a word, so they are monotone in the word.
     """
     one = words.select(F.col(word).alias("word")).distinct()
-    lead = F.coalesce(F.ascii("word"), F.lit(0)) * 65536 + F.coalesce(
-        F.ascii(F.substring("word", 2, 1)), F.lit(0)
-    )
+    first, second = F.ascii("word"), F.ascii(F.substring("word", 2, 1))
     numbered = running_totals(
-        one.withColumn("_bucket", lead.cast("bigint")),
+        one.withColumn("_bucket", first.cast("bigint") * F.lit(1 << 21) + second),
         [F.col("word")],
         {"index": F.lit(1).cast("bigint")},
     )

@@ -11,7 +11,7 @@ from rollbook.functions.text import flatten_join, join_pairs
 from rollbook.operators.ordered import fingerprint, join_null_safe
 
 # Person columns that only the JSON copy keeps.
-JSON_ONLY = ("culpa_reviews", "gscholar")
+JSON_ONLY = ("reviews", "gscholar")
 
 
 def json_by_term(df: DataFrame, path: str, term: str = "term", mode: str = "overwrite") -> None:
