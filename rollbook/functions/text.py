@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollbook.functions.higher import let
+
 # Course-code pattern, and the connectives that join codes.
 PREREQUISITE_PATTERN = (
     r"([A-Z]{4} [A-Z][A-Z]?[0-9]{4}|[A-Z][A-Z]?[0-9]{4}|[oO][rR]|[aA][nN][dD])"
@@ -119,15 +121,17 @@ def digits_int(c: Column) -> Column:
 
 def split_at_marker(lines: Column, marker: str = WORKLOAD_MARKER) -> Column:
     """Lines -> struct(text, workload) around the first line equal to `marker`."""
-    at = F.array_position(lines, F.lit(marker)).cast("int")
-    return F.struct(
-        F.array_join(F.when(at > 0, F.slice(lines, F.lit(1), at - 1)).otherwise(lines), "\n").alias(
-            "text"
-        ),
-        F.when(
-            at > 0, F.array_join(F.slice(lines, at + 1, F.greatest(F.size(lines) - at, F.lit(0))), "\n")
-        ).alias("workload"),
-    )
+
+    def cut(x: Column) -> Column:
+        at = F.array_position(x, F.lit(marker)).cast("int")
+        before = F.when(at > 0, F.slice(x, F.lit(1), at - 1)).otherwise(x)
+        after = F.slice(x, at + 1, F.greatest(F.size(x) - at, F.lit(0)))
+        return F.struct(
+            F.array_join(before, "\n").alias("text"),
+            F.when(at > 0, F.array_join(after, "\n")).alias("workload"),
+        )
+
+    return let(lines, cut)
 
 
 def badge(c: Column) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions import names as N
+from rollbook.functions.higher import let
 
 # Jaro-Winkler adds 0.1 per equal leading letter, at most 4.
 _PREFIX_WEIGHT = 0.1
@@ -44,11 +45,6 @@ def _missing(budget: float, longer: Column) -> Column:
     return F.floor(F.lit(budget) * longer).cast("int")
 
 
-def _let(value: Column, body) -> Column:
-    """`body(value)` with `value` computed once, although the body uses it often."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _letters(c: Column) -> Column:
     return F.array_sort(F.filter(F.split(c, ""), lambda x: x != ""))
 
@@ -79,7 +75,7 @@ def _block_keys(value: Column, letters: Column, longer_role: bool, threshold: fl
                 ),
             )
             start = F.concat(head, m.cast("string"))
-            return _let(
+            return let(
                 parts,
                 lambda ps: F.flatten(
                     F.transform(

@@ -14,7 +14,7 @@ def answer_labels(answer: Column, n_results: Column) -> Column:
     'n' nothing fits; 'p' / 'm' the only result is possible / a match; 'mK' result K is
     the match; 'i,j' these are possible. Everything else is rejected.
     """
-    parts = F.transform(F.split(answer, ","), F.trim)
+    parts = F.transform(F.split(answer, ","), lambda a: F.trim(a))
     first = F.get(parts, F.lit(0))
     alone = F.size(parts) == 1
     picked = F.transform(parts, lambda a: F.when(a.rlike(r"^\d+$"), a.try_cast("int")))

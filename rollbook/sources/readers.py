@@ -58,10 +58,9 @@ def term_partitions(spark: SparkSession, folder: str, schema: T.StructType) -> D
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """`<term>/<department>[/<class>]/<time>.html` files: one row per page with its path parts."""
     df = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.html")
-        .text(folder)
+        .text(folder, wholetext=True)
     )
     path = F.url_decode("_metadata.file_path")
     tail = r"/([^/]+)/([^/]+)(?:/([^/]+))?/(\d{4}-\d{2}-\d{2}_\d{2}:\d{2})_UTC\.html$"
