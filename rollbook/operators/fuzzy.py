@@ -49,6 +49,10 @@ def _letters(c: Column) -> Column:
     return F.array_sort(F.filter(F.split(c, ""), lambda x: x != ""))
 
 
+def _count_of(c: Column, letter: Column) -> Column:
+    return F.length(c) - F.length(F.replace(c, letter, F.lit("")))
+
+
 def _block_keys(value: Column, letters: Column, longer_role: bool, threshold: float) -> Column:
     """Array of exact block keys of one string.
 
@@ -109,23 +113,21 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
 
     def blocked(df: DataFrame, c: str, longer_role: bool) -> DataFrame:
         keys = _block_keys(F.col(c), F.col(f"_l{c}"), longer_role, threshold)
-        return df.withColumn("_key", F.explode(F.array_distinct(keys)))
+        return df.select(c, F.explode(F.array_distinct(keys)).alias("_key"))
 
     a, b = prepared(left, "a"), prepared(right, "b")
     a_longer = blocked(a, "a", True).join(blocked(b, "b", False), "_key")
     b_longer = blocked(a, "a", False).join(blocked(b, "b", True), "_key")
     la, lb = F.length("a"), F.length("b")
     both = a_longer.filter(la >= lb).unionByName(b_longer.filter(la < lb))
+    once = both.select("a", "b").distinct()  # a pair usually shares several keys
     shared = F.aggregate(
-        F.array_distinct("_la"),
+        F.array_distinct(_letters(F.col("a"))),
         F.lit(0),
         lambda acc, x: acc
-        + F.least(
-            F.size(F.filter("_la", lambda y: y == x)), F.size(F.filter("_lb", lambda y: y == x))
-        ),
+        + F.least(_count_of(F.col("a"), x), _count_of(F.col("b"), x)),
     )
-    possible = both.filter(shared / la + shared / lb >= F.lit(2.0 - _budget(threshold, 4)))
-    pairs = possible.select("a", "b").distinct()
+    pairs = once.filter(shared / la + shared / lb >= F.lit(2.0 - _budget(threshold, 4)))
     scored = pairs.withColumn(
         "similarity", F.when(F.col("a") == F.col("b"), F.lit(1.0)).otherwise(N.str_similarity(F.col("a"), F.col("b")))
     )

@@ -119,9 +119,9 @@ def ml_stem_overlap(spark, d):
     """People are the part names; interests are the text of documents (stems: rows only)."""
     p, docs = V.table(spark, d, "part"), V.table(spark, d, "documents")
     people = p.select(F.col("p_name").alias("name"), F.lower("p_type").alias("department"))
-    spoken = V.table(spark, d, "benchmark").select(F.col("text").alias("title"))
+    spoken = V.table(spark, d, "benchmark").select("item_id", F.col("text").alias("title"))
     n = p.select(F.col("p_name").alias("name")).distinct()
-    titles = spoken.withColumn("slot", F.monotonically_increasing_id() % 64).join(
+    titles = spoken.withColumn("slot", F.pmod(F.col("item_id"), F.lit(64))).join(
         n.withColumn("slot", F.pmod(F.xxhash64("name"), F.lit(64))), "slot"
     ).select("name", "title")
     cand = docs.withColumn("slot", F.pmod(F.col("doc_id"), F.lit(64))).join(

@@ -87,27 +87,18 @@ def src_term_files(spark, d):
 
 @query(
     "src_html_pages",
-    """SELECT page_id, split_part(url, '/', 4) AS department_code, length(html) AS n, md5(html) AS digest FROM pages""",
+    """SELECT split_part(url, '/', 4) AS department_code, length(html) AS n, md5(html) AS digest FROM pages""",
 )
 def src_html_pages(spark, d):
-    """Stored pages as files below their key folder, read back as whole texts."""
-    pages = V.table(spark, d, "pages")
+    """Stored pages, one file each below their department, read back as whole texts."""
     path = scratch_dir(spark, "html")
-    keyed = pages.select(
-        F.get(F.split("url", "/"), F.lit(3)).alias("department_code"), "page_id", F.col("html").alias("value")
+    keyed = V.table(spark, d, "pages").select(
+        F.get(F.split("url", "/"), F.lit(3)).alias("department_code"), F.col("html").alias("value")
     )
-    (
-        keyed.write.partitionBy("department_code", "page_id")
-        .option("maxRecordsPerFile", 1)
-        .text(path)
-    )
-    back = spark.read.text(path, wholetext=True)
+    keyed.write.partitionBy("department_code").option("maxRecordsPerFile", 1).text(path)
     body = F.regexp_replace("value", r"\n\z", "")  # the text writer ends the file with one
-    return back.select(
-        F.col("page_id").cast("bigint").alias("page_id"),
-        "department_code",
-        F.length(body).alias("n"),
-        F.md5(body).alias("digest"),
+    return spark.read.text(path, wholetext=True).select(
+        "department_code", F.length(body).alias("n"), F.md5(body).alias("digest")
     )
 
 
