@@ -56,20 +56,25 @@ def term_partitions(spark: SparkSession, folder: str, schema: T.StructType) -> D
 
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """`<term>/<department>[/<class>]/<time>.html` files: one row per page with its path parts."""
+    """`<term>/<department>[/<class>]/<time>.html` files: one row per page with its path parts.
+
+    Times are `2020-07-10_18:35_UTC`, or `2020-07-10_18-35_UTC` on file systems (HDFS, a local
+    disk with checksums) that refuse a colon in a name.
+    """
     df = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.html")
         .text(folder, wholetext=True)
     )
     path = F.url_decode("_metadata.file_path")
-    tail = r"/([^/]+)/([^/]+)(?:/([^/]+))?/(\d{4}-\d{2}-\d{2}_\d{2}:\d{2})_UTC\.html$"
+    tail = r"/([^/]+)/([^/]+)(?:/([^/]+))?/(\d{4}-\d{2}-\d{2}_\d{2}[:-]\d{2})_UTC\.html$"
     inside = F.regexp_replace(path, "^.*?" + _literal(folder), "")
+    minute = F.regexp_replace(F.regexp_extract(inside, tail, 4), r"(\d{2})-(\d{2})$", r"$1:$2")
     return df.select(
         F.regexp_extract(inside, tail, 1).alias("term"),
         F.regexp_extract(inside, tail, 2).alias("department_code"),
         F.nullif(F.regexp_extract(inside, tail, 3), F.lit("")).alias("class_id"),
-        F.try_to_timestamp(F.regexp_extract(inside, tail, 4), F.lit("yyyy-MM-dd_HH:mm")).alias("ts"),
+        F.try_to_timestamp(minute, F.lit("yyyy-MM-dd_HH:mm")).alias("ts"),
         F.col("value").alias("raw_content"),
     )
 
