@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions import names as N
 from rollbook.functions.higher import let
+from rollbook.sources.scratch import stored
 
 # Jaro-Winkler adds 0.1 per equal leading letter, at most 4.
 _PREFIX_WEIGHT = 0.1
@@ -138,9 +139,10 @@ def _spellings(df: DataFrame, column: str, out: str) -> DataFrame:
     """Distinct spellings with their ordered form and parts."""
     one = df.select(F.col(column).alias(out)).filter(F.col(out).isNotNull()).distinct()
     ordered = N.name_order(F.col(out))
-    return one.select(
+    parts = one.select(
         out, F.lower(ordered).alias("whole"), N.name_tokens(ordered).alias("parts")
     )
+    return stored(parts, "spellings")
 
 
 def _two(x: Column, y: Column) -> Column:
@@ -248,7 +250,8 @@ def search_hits(people: DataFrame, hits: DataFrame) -> DataFrame:
         return best.select("name", "_first.*", "matches", F.lit(step).alias("step"))
 
     one = people.select("name").distinct()
-    first = first_hits(one.join(hits, one["name"] == hits["query"]), 1)
+    hits = stored(hits.select("query", "rank", "found", "link"), "hits")
+    first = stored(first_hits(one.join(hits, one["name"] == hits["query"]), 1), "first")
     missed = one.join(first.select("name"), "name", "left_anti").withColumn(
         "short", drop_initials(F.col("name"))
     )

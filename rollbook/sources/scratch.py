@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -19,3 +19,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="rollbook-")
     return f"{base.rstrip('/')}/rollbook-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the scratch folder and read back.
+
+    For a result that several branches use: it is computed once, survives lost executors,
+    and its measured size lets Spark choose the later joins.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

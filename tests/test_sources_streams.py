@@ -52,12 +52,15 @@ def test_flat_columns(spark):
     assert [tuple(r) for r in writers.flat_columns(df).collect()] == [("n", "a\nb", "2021-Fall C 1")]
 
 
-def test_scratch_follows_the_session(spark):
-    spark.conf.set("spark.checkpoint.dir", "/tmp/shared-folder")
-    try:
-        assert scratch_dir(spark, "x").startswith("/tmp/shared-folder/rollbook-x-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_follows_the_session():
+    class Conf:
+        def get(self, key, default=None):
+            return "/shared/folder/" if key == "spark.checkpoint.dir" else default
+
+    class Session:
+        conf = Conf()
+
+    assert scratch_dir(Session(), "x").startswith("/shared/folder/rollbook-x-")
 
 
 def test_snapshot_stream_equals_batch(spark, tmp_path):
