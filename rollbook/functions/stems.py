@@ -121,6 +121,5 @@ def word_tokens(c: Column, remove_stop_words: bool = False) -> Column:
     """Words of a text, case kept; stop words are dropped by exact spelling."""
     tokens = F.filter(F.split(c, r"[^\p{L}\p{N}_]+"), lambda w: w != "")
     if remove_stop_words:
-        stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-        tokens = F.filter(tokens, lambda w: ~F.array_contains(stop, w))
+        tokens = F.filter(tokens, lambda w: ~w.isin(*STOP_WORDS))
     return tokens

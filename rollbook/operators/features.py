@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.names import str_similarity, words_match2
-from rollbook.functions.stems import porter_stem_udf, word_tokens
+from rollbook.functions.stems import STOP_WORDS, porter_stem_udf, word_tokens
 from rollbook.operators.ordered import running_totals
 
 # Separators and clue words of the classifier inputs.
@@ -42,8 +42,8 @@ def article_input(name: Column, department: Column, title: Column, page: Column)
 
 def word_rows(df: DataFrame, key: str, text: str, remove_stop_words: bool = False) -> DataFrame:
     """Distinct (key, word) of a text column; repeats are dropped inside the row."""
-    found = F.array_distinct(word_tokens(F.col(text), remove_stop_words))
-    return df.select(key, F.explode(found).alias("word"))
+    words = df.select(key, F.explode(F.array_distinct(word_tokens(F.col(text)))).alias("word"))
+    return words.filter(~F.col("word").isin(*STOP_WORDS)) if remove_stop_words else words
 
 
 def stem_table(words: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ piece forward. Both forms are exact for any data; only the speed depends on the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -35,7 +36,8 @@ def quantile_buckets(df: DataFrame, order: str, buckets: int = 256) -> DataFrame
     """
     number = df.withColumn("_order", F.col(order).cast("double"))
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(number.approxQuantile("_order", shares, 0.5 / buckets)))
+    found = number.approxQuantile("_order", shares, 0.5 / buckets)
+    cuts = sorted({c for c in found if math.isfinite(c)}) or [0.0]
     splits = [-float("inf"), *cuts, float("inf")]
     return (
         Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket", handleInvalid="keep")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollbook.functions import names as N
-from rollbook.functions import stems, terms, text, urls, vectors
+from rollbook.functions import terms, text, urls, vectors
+from rollbook.operators import features
 from rollbook.plans import views as V
 from rollbook.plans.q_tables import match_sql, ordered_sql, tokens_sql
 from rollbook.plans.registry import query
@@ -499,11 +500,7 @@ def fn_dict_vector(spark, d):
 @query("fn_word_stems")
 def fn_word_stems(spark, d):
     """Stem of every distinct word of the documents (Porter is not expressible in SQL)."""
-    docs = V.table(spark, d, "documents")
-    words = docs.select(F.explode(F.array_distinct(stems.word_tokens(F.col("text"), True))).alias("word"))
-    from rollbook.operators.features import stem_table
-
-    return stem_table(words)
+    return features.stem_table(features.word_rows(V.table(spark, d, "documents"), "doc_id", "text", True))
 
 
 @query(

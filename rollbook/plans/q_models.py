@@ -15,7 +15,7 @@ from rollbook.sources.scratch import scratch_dir
 @query(
     "ml_flatten_results",
     V.ctes(V.V_RESULT)
-    + """SELECT 'person ' || query AS name, 'dep' AS department, rank, title, md5(snippet) AS digest, label AS labels
+    + """SELECT 'person ' || query AS name, 'dep' AS department, rank % 50 AS rank, title, md5(snippet) AS digest, label AS labels
     FROM v_result""",
 )
 def ml_flatten_results(spark, d):
@@ -55,7 +55,7 @@ def _answered(spark, d):
     return _results(spark, d).withColumn("answer", F.get(given, query % 7))
 
 
-_ANSWERED_SQL = f"""r AS (SELECT *, count(*) OVER (PARTITION BY query) AS n, {_ANSWER} AS answer FROM v_result),
+_ANSWERED_SQL = f"""r AS (SELECT query, rank % 50 AS rank, count(*) OVER (PARTITION BY query, rank // 50) AS n, {_ANSWER} AS answer FROM v_result),
 judged AS (SELECT *, CASE answer WHEN 'n' THEN true WHEN 'm' THEN n = 1 WHEN 'p' THEN n = 1 WHEN 'm1' THEN n > 1
     WHEN '0, 2' THEN n > 2 WHEN '9' THEN n > 9 ELSE false END AS valid FROM r),
 given AS (SELECT *, CASE WHEN NOT valid THEN NULL WHEN answer = 'n' THEN 0 WHEN answer = 'm' THEN 2 WHEN answer = 'p' THEN 1
@@ -79,7 +79,7 @@ def ml_apply_answers(spark, d):
 @query(
     "agg_label_stats",
     V.ctes(V.V_RESULT)
-    + """SELECT count(DISTINCT query) AS queries, count(*) AS results, count_if(label = 0) AS irrelevant,
+    + """SELECT count(DISTINCT (query, rank // 50)) AS queries, count(*) AS results, count_if(label = 0) AS irrelevant,
       count_if(label = 1) AS possible, count_if(label = 2) AS relevant FROM v_result""",
 )
 def agg_label_stats(spark, d):
