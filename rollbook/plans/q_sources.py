@@ -225,7 +225,8 @@ def sink_class_file(spark, d):
     merged = merge.merge_term(V.v_class(spark, d).select(*cols))
     df = columns.reorder(merged.classes, ["course_code", "course_title", "instructor"])
     path = scratch_dir(spark, "classes")
-    writers.json_by_term(df.sortWithinPartitions("term", *columns.CLASS_ORDER), path)
+    spread = df.hint("rebalance", "term").sortWithinPartitions("term", *columns.CLASS_ORDER)
+    writers.json_by_term(spread, path, rebalance=False)
     schema = T.StructType([f for f in df.schema.fields if f.name != "term"])
     return readers.term_partitions(spark, path, schema).select(
         "term", "course_code", "course_title", "call_number", "instructor", "points", "type"

@@ -14,9 +14,17 @@ from rollbook.operators.ordered import fingerprint, join_null_safe
 JSON_ONLY = ("reviews", "gscholar")
 
 
-def json_by_term(df: DataFrame, path: str, term: str = "term", mode: str = "overwrite") -> None:
-    """JSON lines in one folder per term. Rows are not moved: each task writes its terms."""
-    df.write.mode(mode).partitionBy(term).json(path)
+def json_by_term(
+    df: DataFrame, path: str, term: str = "term", mode: str = "overwrite", rebalance: bool = True
+) -> None:
+    """JSON lines in one folder per term.
+
+    Rows are rebalanced by term first, so a term gets files of a sensible size, and a large
+    term several tasks, instead of one file per task and term. Pass `rebalance=False` to
+    keep the order of rows that are sorted already.
+    """
+    out = df.hint("rebalance", term) if rebalance else df
+    out.write.mode(mode).partitionBy(term).json(path)
 
 
 def flat_columns(df: DataFrame, json_only: Sequence[str] = JSON_ONLY) -> DataFrame:
