@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.llm import bpe
+from rollbook.llm import bpe, packing
 from rollbook.llm.registry import query
 
 
@@ -21,3 +21,19 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         public.path("byte_bpe_multi_50k.tiktoken"),
         public.PATTERN,
     )
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    packed = packing.pack_documents(
+        table(spark, sf_dir, "documents"),
+        public.path("byte_bpe_50k.json"),
+        capacity=1024,
+        end_id=2,
+        keep_ids=False,
+    )
+    return packed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
