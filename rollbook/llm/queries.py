@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.llm import bpe, packing
+from rollbook.llm import bpe, exact, packing, quality
 from rollbook.llm.registry import query
+from rollbook.sources.scratch import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,3 +38,24 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = quality.with_counts(docs).drop("text", "n_chars")
+    judged = quality.judge(stored(counted, "quality"))
+    return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "lang", "source", "n_lines")
+
+
+@query(
+    "op8_exact_dedup",
+    """
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = max(doc_id) OVER w AS kept, sha256(text) AS text_sha256
+    FROM t WINDOW w AS (PARTITION BY text)
+    """,
+)
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(table(spark, sf_dir, "documents"))
