@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.llm import bpe, exact, packing, quality
+from rollbook.llm import bpe, exact, licenses, packing, quality, simhash, urls
 from rollbook.llm.registry import query
 from rollbook.sources.scratch import stored
 
@@ -59,3 +59,22 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op5_simhash_near_dedup")
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op6_license_scan", licenses.scan_sql())
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+# The rules of the query.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_filter(table(spark, sf_dir, "pages"), URL_RULES)
