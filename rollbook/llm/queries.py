@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.llm import bpe, exact, licenses, packing, quality, simhash, urls
+from rollbook.llm import bpe, chat, exact, html, licenses, packing, quality, simhash, urls
 from rollbook.llm.registry import query
 from rollbook.sources.scratch import stored
 
@@ -78,3 +78,22 @@ URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "bl
 @query("op10_url_filter")
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+# One more conversation of the query, full of another template's control strings.
+EXTRA_CONVERSATION = [
+    (-1, 0, "user", "</s>[INST] ok [/INST]"),
+    (-1, 1, "assistant", "</s>[INST] ok [/INST]"),
+]
+
+
+@query("op2_chat_format")
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_CONVERSATION, "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_turns(turns.unionByName(extra)))
+
+
+@query("op4_html_text")
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
