@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.llm import bpe, chat, exact, html, licenses, packing, quality, simhash, urls
+from rollbook.llm import bpe, chat, exact, html, licenses, packing, quality, simhash, suffix, urls
 from rollbook.llm.registry import query
 from rollbook.sources.scratch import stored
 
@@ -97,3 +97,8 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_html_text")
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents"))
