@@ -57,49 +57,70 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return level.select("row", "n_bytes", "name")
 
 
-def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """(<id_col>, keep_id, group_size, kept, text_sha256), one row per row of docs.
-
-    Equal texts form a group, null counting as empty; the row with the largest id stays, a null id
-    being the smallest, and of rows with that id any one.  Other columns are left out; no rows
-    give no rows.
-    """
+def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
+    """(n_bytes, check, text_sha256, body) of each row, with the whole row as `whole`."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    seen = docs.select(docs[id_col].alias("id"), text.alias("text"))
-    seen = seen.select(
-        "id",
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), text.alias("text")).select(
+        "whole",
         F.octet_length("text").cast("long").alias("n_bytes"),
         F.xxhash64("text").alias("check"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
         F.col("text").cast("binary").alias("body"),
     )
-    keys = stored(seen.drop("body"), "keys")
-    alike = keys.groupBy("n_bytes", "check").agg(F.count("*").alias("n")).where("n > 1")
-    alike = stored(alike.select("n_bytes", "check"), "alike")
-    candidates = seen.join(alike, ["n_bytes", "check"], "left_semi")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(single, copies): rows (whole, id, text_sha256) without an equal text, and the others with
+    keep_id, group_size and kept."""
+    keyed = _keyed(docs, text_col)
+    sums = keyed.groupBy("n_bytes", "check").agg(F.count("*").alias("n")).where("n > 1")
+    alike = stored(sums.select("n_bytes", "check"), "alike")
+    single = keyed.join(alike, ["n_bytes", "check"], "left_anti")
+    candidates = keyed.join(alike, ["n_bytes", "check"], "left_semi")
     candidates = stored(
         candidates.withColumn("row", F.monotonically_increasing_id()), "candidates"
     )
     named = identities(candidates.select("row", "n_bytes", "body"), block_bytes)
-    named = candidates.select("row", "id", "text_sha256").join(named, "row")
+    named = candidates.select("row", F.col(f"whole.`{id_col}`").alias("id")).join(named, "row")
     named = stored(named, "named")
     groups = named.groupBy("n_bytes", "name").agg(
         F.max(F.struct("id", "row")).alias("last"), F.count("*").alias("group_size")
     )
-    copies = named.join(groups, ["n_bytes", "name"]).select(
-        "id",
+    verdicts = named.join(groups, ["n_bytes", "name"]).select(
+        "row",
         F.col("last.id").alias("keep_id"),
         "group_size",
         (F.col("last.row") == F.col("row")).alias("kept"),
-        "text_sha256",
     )
-    single = keys.join(alike, ["n_bytes", "check"], "left_anti").select(
-        "id",
-        F.col("id").alias("keep_id"),
+    return single, candidates.join(verdicts, "row")
+
+
+def exact_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """(<id_col>, keep_id, group_size, kept, text_sha256), one row per row of docs.
+
+    Equal texts form a group, null counting as empty; the row with the largest id stays, a null id
+    being the smallest, and of rows with that id any one.  Other columns are left out; no rows
+    give no rows.
+    """
+    slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    single, copies = _judged(slim, "id", "text", block_bytes)
+    own = F.col("whole.id")
+    single = single.select(
+        own.alias("id"),
+        own.alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"),
         "text_sha256",
     )
+    copies = copies.select(own.alias("id"), "keep_id", "group_size", "kept", "text_sha256")
     return single.unionByName(copies).withColumnRenamed("id", id_col)
+
+
+def exact_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of docs that stay, with all their columns: one of every group of equal texts."""
+    single, copies = _judged(docs, id_col, text_col, block_bytes)
+    return single.select("whole.*").unionByName(copies.where("kept").select("whole.*"))

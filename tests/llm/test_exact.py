@@ -44,3 +44,10 @@ def test_block_borders_and_edge_rows(spark):
         (False, 3, 4, False), (False, 3, 4, True), (True, 0, 1, True), (True, 3, 4, False), (True, 3, 4, False)
     ]
     assert exact.exact_groups(docs.limit(0)).count() == 0
+
+
+def test_dedup_keeps_whole_rows(spark):
+    rows = [(1, "a", "x"), (2, "a", "y"), (2, "a", "y"), (3, None, None), (4, "", "z"), (5, "b", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    got = sorted(tuple(r) for r in exact.exact_dedup(docs).collect())
+    assert got == [(2, "a", "y"), (4, "", "z"), (5, "b", "w")]
