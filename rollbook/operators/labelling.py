@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def answer_labels(answer: Column, n_results: Column) -> Column:
     alone = F.size(parts) == 1
     picked = F.transform(parts, lambda a: F.when(a.rlike(r"^\d+$"), a.try_cast("int")))
     all_picked = F.forall(picked, lambda i: i.isNotNull() & (i < n_results))
-    match = F.when(first.rlike(r"^m\d+$"), F.substring(first, 2, 9).try_cast("int"))
+    match = F.when(first.rlike(r"^m\d+$"), F.regexp_extract(first, r"^m(\d+)$", 1).try_cast("int"))
     only = alone & first.isin("p", "m") & (n_results == 1)
     one = alone & F.coalesce(match < n_results, F.lit(False))
     none = alone & (first == "n")
@@ -40,12 +42,23 @@ def answer_labels(answer: Column, n_results: Column) -> Column:
     return F.struct(valid.alias("valid"), F.transform(places, label).alias("labels"))
 
 
-def apply_answers(df: DataFrame, results: str, answer: str) -> DataFrame:
-    """Add `valid` and write the labels into the result structs of valid rows."""
-    judged = df.withColumn("_judged", answer_labels(F.col(answer), F.size(results)))
+def apply_answers(
+    df: DataFrame,
+    results: str,
+    answer: str,
+    rule: Callable[[Column, Column], Column] = answer_labels,
+    only_missing: bool = True,
+) -> DataFrame:
+    """Add `valid` and write the labels into the result structs of valid rows.
+
+    `rule` gives struct(valid, labels) of an answer and the number of results. Labels that are
+    there already stay, unless `only_missing` is off.
+    """
+    judged = df.withColumn("_judged", rule(F.col(answer), F.size(results)))
+    old = lambda r: r["label"] if only_missing else F.lit(None)
     labelled = F.transform(
         F.arrays_zip(F.col(results).alias("r"), F.col("_judged.labels").alias("l")),
-        lambda z: z["r"].withField("label", z["l"]),
+        lambda z: z["r"].withField("label", F.coalesce(old(z["r"]), z["l"])),
     )
     return (
         judged.withColumn("valid", F.col("_judged.valid"))

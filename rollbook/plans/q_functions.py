@@ -276,11 +276,10 @@ def fn_wiki_link(spark, d):
 
 @query(
     "fn_query_url",
-    """SELECT doc_id, 'https://api.example.org/w/api.php?q=' || replace(url_encode('University intitle:' || source || ' ' ||
-      substr(text, 1, 40)), '%20', '+') || '&redirects=' AS link FROM documents""",
+    """SELECT doc_id, 'https://api.example.org/w/api.php?q=' || replace(url_encode('University intitle:' || source || ' ' || text), '%20', '+') || '&redirects=' AS link FROM documents""",
 )
 def fn_query_url(spark, d):
-    value = F.concat("source", F.lit(" "), F.substring("text", 1, 40))
+    value = F.concat("source", F.lit(" "), "text")
     link = urls.query_url(
         "https://api.example.org/w/api.php?q=", value, "&redirects=", "University intitle:"
     )

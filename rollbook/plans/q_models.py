@@ -15,7 +15,7 @@ from rollbook.sources.scratch import scratch_dir
 @query(
     "ml_flatten_results",
     V.ctes(V.V_RESULT)
-    + """SELECT 'person ' || query AS name, 'dep' AS department, rank % 50 AS rank, title, md5(snippet) AS digest, label AS labels
+    + """SELECT 'person ' || query AS name, 'dep' AS department, rank, title, md5(snippet) AS digest, label AS labels
     FROM v_result""",
 )
 def ml_flatten_results(spark, d):
@@ -52,10 +52,17 @@ _ANSWER = """CASE query % 7 WHEN 0 THEN 'n' WHEN 1 THEN 'm' WHEN 2 THEN 'm1' WHE
 def _answered(spark, d):
     query = F.substring_index("name", " ", -1).cast("int")
     given = F.array(*[F.lit(a) for a in ("n", "m", "m1", "0, 2", "p", "1,m0", "9")])
-    return _results(spark, d).withColumn("answer", F.get(given, query % 7))
+    blank = F.transform(
+        "search_results", lambda r: r.withField("label", F.lit(None).cast("int"))
+    )
+    return (
+        _results(spark, d)
+        .withColumn("search_results", blank)
+        .withColumn("answer", F.get(given, query % 7))
+    )
 
 
-_ANSWERED_SQL = f"""r AS (SELECT query, rank % 50 AS rank, count(*) OVER (PARTITION BY query, rank // 50) AS n, {_ANSWER} AS answer FROM v_result),
+_ANSWERED_SQL = f"""r AS (SELECT query, rank, count(*) OVER (PARTITION BY query) AS n, {_ANSWER} AS answer FROM v_result),
 judged AS (SELECT *, CASE answer WHEN 'n' THEN true WHEN 'm' THEN n = 1 WHEN 'p' THEN n = 1 WHEN 'm1' THEN n > 1
     WHEN '0, 2' THEN n > 2 WHEN '9' THEN n > 9 ELSE false END AS valid FROM r),
 given AS (SELECT *, CASE WHEN NOT valid THEN NULL WHEN answer = 'n' THEN 0 WHEN answer = 'm' THEN 2 WHEN answer = 'p' THEN 1
@@ -79,7 +86,7 @@ def ml_apply_answers(spark, d):
 @query(
     "agg_label_stats",
     V.ctes(V.V_RESULT)
-    + """SELECT count(DISTINCT (query, rank // 50)) AS queries, count(*) AS results, count_if(label = 0) AS irrelevant,
+    + """SELECT count(DISTINCT query) AS queries, count(*) AS results, count_if(label = 0) AS irrelevant,
       count_if(label = 1) AS possible, count_if(label = 2) AS relevant FROM v_result""",
 )
 def agg_label_stats(spark, d):
@@ -116,17 +123,13 @@ def ml_vocab_features(spark, d):
 
 @query("ml_stem_overlap")
 def ml_stem_overlap(spark, d):
-    """People are the part names; interests are the text of documents (stems: rows only)."""
+    """People are the part names; the document and the title of a person carry its key."""
     p, docs = V.table(spark, d, "part"), V.table(spark, d, "documents")
     people = p.select(F.col("p_name").alias("name"), F.lower("p_type").alias("department"))
-    spoken = V.table(spark, d, "benchmark").select("item_id", F.col("text").alias("title"))
-    n = p.select(F.col("p_name").alias("name")).distinct()
-    titles = spoken.withColumn("slot", F.pmod(F.col("item_id"), F.lit(64))).join(
-        n.withColumn("slot", F.pmod(F.xxhash64("name"), F.lit(64))), "slot"
-    ).select("name", "title")
-    cand = docs.withColumn("slot", F.pmod(F.col("doc_id"), F.lit(64))).join(
-        n.withColumn("slot", F.pmod(F.xxhash64("name"), F.lit(64))), "slot"
-    ).select(
+    person = p.select(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"))
+    spoken = V.table(spark, d, "benchmark").withColumn("key", F.col("item_id") + 1)
+    titles = spoken.join(person, "key").select("name", F.col("text").alias("title"))
+    cand = docs.withColumn("key", F.col("doc_id") + 1).join(person, "key").select(
         F.concat_ws(":", "doc_id", "name").alias("id"), "name", F.concat("name", F.lit(" x")).alias("found"),
         F.col("text").alias("interests"),
     )

@@ -33,15 +33,12 @@ def src_json_records(spark, d):
     return readers.json_records(spark, path, PART)
 
 
-PAGE_RESULTS = 50
-
-
 def _results(spark, d):
-    """Search results per query, nested: one row per result page, so lists stay short."""
-    r = V.v_result(spark, d).withColumn("page", F.floor(F.col("rank") / PAGE_RESULTS))
+    """Search results, nested: one row per query with its whole list, as stored records are."""
     item = F.struct("title", "snippet", F.col("label").cast("int").alias("label"))
     return (
-        r.groupBy("query", "page")
+        V.v_result(spark, d)
+        .groupBy("query")
         .agg(F.array_sort(F.collect_list(F.struct("rank", item.alias("item")))).alias("r"))
         .select(
             F.concat(F.lit("person "), F.col("query").cast("string")).alias("name"),
@@ -55,7 +52,7 @@ def _results(spark, d):
 _RESULT_ROWS = """SELECT 'person ' || query AS name, rank, title, length(snippet) AS n, label FROM v_result"""
 
 
-@query("src_jsonl", V.ctes(V.V_RESULT) + _RESULT_ROWS.replace("rank,", f"rank % {PAGE_RESULTS} AS rank,"))
+@query("src_jsonl", V.ctes(V.V_RESULT) + _RESULT_ROWS)
 def src_jsonl(spark, d):
     path = scratch_dir(spark, "results")
     writers.jsonl_append(_results(spark, d), path)

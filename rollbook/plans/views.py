@@ -5,6 +5,9 @@ Each view exists twice: a function for Spark and a common table expression for t
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -246,15 +249,24 @@ V_NAME = """v_name AS (
   FROM part UNION ALL SELECT DISTINCT s_name, s_name FROM supplier)"""
 
 
-def v_score(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "embeddings")
-    at = [F.get("embedding", F.lit(i)).cast("double") for i in range(3)]
-    return e.select("vec_id", F.array(*at).alias("logits"), (F.col("label") % 3).alias("y"))
+_WIDTH = 64  # values of an embedding; every third one belongs to the same class
 
 
-V_SCORE = """v_logit AS (
-  SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
-         CAST(embedding[3] AS DOUBLE) AS c, label % 3 AS y FROM embeddings),
+def v_score(spark: SparkSession, d: str) -> DataFrame:
+    """Three logits, each the sum of a third of all embedding values, in order."""
+    e = table(spark, d, "embeddings")
+    logits = []
+    for k in range(3):
+        terms = [F.get("embedding", F.lit(i)).cast("double") for i in range(k, _WIDTH, 3)]
+        logits.append(reduce(operator.add, terms))
+    return e.select("vec_id", F.array(*logits).alias("logits"), (F.col("label") % 3).alias("y"))
+
+
+_LOGITS = ", ".join(
+    " + ".join(f"CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(k, _WIDTH, 3)) + f" AS {name}"
+    for k, name in enumerate("abc")
+)
+V_SCORE = f"""v_logit AS (SELECT vec_id, {_LOGITS}, label % 3 AS y FROM embeddings),
 v_score AS (
   SELECT vec_id, y, a, b, c, exp(a) / (exp(a) + exp(b) + exp(c)) AS pa,
          exp(b) / (exp(a) + exp(b) + exp(c)) AS pb, exp(c) / (exp(a) + exp(b) + exp(c)) AS pc FROM v_logit)"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -16,8 +17,11 @@ SETTINGS = {
 }
 
 
-def local_session(cpus: int | None = None) -> SparkSession:
-    """Session for tests and benchmarks on one machine."""
+def local_session(cpus: int | None = None, scratch: str | None = None) -> SparkSession:
+    """Session for tests and benchmarks on one machine.
+
+    `scratch` becomes the checkpoint folder; without it a new folder of this machine does.
+    """
     n = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     builder = (
         SparkSession.builder.master(f"local[{n}]")
@@ -25,6 +29,7 @@ def local_session(cpus: int | None = None) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(n))
+        .config("spark.checkpoint.dir", scratch or tempfile.mkdtemp(prefix="rollbook-"))
     )
     for k, v in SETTINGS.items():
         builder = builder.config(k, v)

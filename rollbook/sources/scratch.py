@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,10 +14,13 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder the session names.
 
-    Only a session without that setting (tests on one machine) gets a temporary folder.
+    Executors on several machines share nothing else, so a session of a cluster without it gets an
+    error; only a session that runs in this process gets a folder of this machine.
     """
     base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="rollbook-")
     return f"{base.rstrip('/')}/rollbook-{name}-{uuid.uuid4().hex[:12]}"
 

@@ -9,8 +9,8 @@ from rollbook.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session()
+def spark(tmp_path_factory):
+    session = local_session(scratch=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
