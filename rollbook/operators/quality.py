@@ -46,7 +46,7 @@ class Check:
 
     def good(self, v: Column) -> Column:
         if self.kind == "regex":
-            return v.rlike(str(self.arg))
+            return v.rlike(f"(?U){self.arg}")  # letters and digits of every script
         if self.kind == "in_set":
             return v.isin(*self.arg)
         if self.kind == "type":
