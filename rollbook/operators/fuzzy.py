@@ -101,26 +101,34 @@ def _block_keys(value: Column, letters: Column, longer_role: bool, threshold: fl
     return F.concat(family(0, 0), family(1, 3), family(4, 4))
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+def similar_pairs(
+    left: DataFrame, right: DataFrame, threshold: float, wanted: Column | None = None
+) -> DataFrame:
     """All pairs (a, b) of two distinct-value tables with Jaro-Winkler >= threshold.
 
     Lossless blocking on letter classes (`_block_keys`), a letter-count check on the JVM,
-    and the similarity itself only for what is left. No block key is capped.
+    and the similarity itself only for what is left. No block key is capped. Further columns of
+    the tables, which must be unique per value, come along for `wanted`, a condition that spares
+    pairs the scoring.
     """
+    extra = [*left.columns[1:], *right.columns[1:]]
 
     def prepared(df: DataFrame, out: str) -> DataFrame:
-        one = df.select(F.col(df.columns[0]).alias(out)).filter(F.length(out) > 0).distinct()
+        one = df.withColumnRenamed(df.columns[0], out).filter(F.length(out) > 0).distinct()
         return one.withColumn(f"_l{out}", _letters(F.col(out)))
 
     def blocked(df: DataFrame, c: str, longer_role: bool) -> DataFrame:
         keys = _block_keys(F.col(c), F.col(f"_l{c}"), longer_role, threshold)
-        return df.select(c, F.explode(F.array_distinct(keys)).alias("_key"))
+        rest = [x for x in df.columns if x in extra]
+        return df.select(c, *rest, F.explode(F.array_distinct(keys)).alias("_key"))
 
     a, b = prepared(left, "a"), prepared(right, "b")
     a_longer = blocked(a, "a", True).join(blocked(b, "b", False), "_key")
     b_longer = blocked(a, "a", False).join(blocked(b, "b", True), "_key")
     la, lb = F.length("a"), F.length("b")
     both = a_longer.filter(la >= lb).unionByName(b_longer.filter(la < lb))
+    if wanted is not None:
+        both = both.filter(wanted)
     once = both.select("a", "b").distinct()  # a pair usually shares several keys
     shared = F.aggregate(
         F.array_distinct(_letters(F.col("a"))),
@@ -177,25 +185,32 @@ def _keyed(catalogue: DataFrame, foreign: DataFrame) -> tuple[DataFrame, DataFra
     close = similar_pairs(f_parts.select("part"), vocabulary, N.TOKEN_SIMILARITY).select(
         F.col("a").alias("part"), F.col("b").alias("known")
     )
-    options = (
-        f_parts.join(close, "part")
-        .groupBy("f", "n")
-        .agg(F.collect_list(F.struct("at", "known")).alias("choices"))  # parts of one spelling
-    )
-
-    def later(x: Column) -> Column:
-        others = F.filter("choices", lambda y: y["at"] > x["at"])
-        return F.transform(others, lambda y: _two(x["known"], y["known"]))
-
-    keys = F.when(F.col("n") == 1, F.transform("choices", lambda x: x["known"])).otherwise(
-        F.flatten(F.transform("choices", later))
-    )
-    f_keys = options.select("f", F.explode(F.array_distinct(keys)).alias("key"))
+    options = stored(f_parts.join(close, "part").select("f", "n", "at", "known"), "options")
+    alone = options.filter(F.col("n") == 1).select("f", F.col("known").alias("key"))
+    first = options.filter(F.col("n") > 1).select("f", "at", "known")
+    second = first.select("f", F.col("at").alias("at2"), F.col("known").alias("known2"))
+    both = first.join(second, "f").filter(F.col("at") < F.col("at2"))
+    f_keys = alone.unionByName(both.select("f", _two(F.col("known"), F.col("known2")).alias("key")))
+    f_keys = f_keys.distinct()
     return c_keys, f_keys
 
 
-def _whole_pairs(catalogue: DataFrame, foreign: DataFrame) -> DataFrame:
-    close = similar_pairs(foreign.select("whole"), catalogue.select("whole"), N.NAME_SIMILARITY)
+def _whole_pairs(
+    catalogue: DataFrame, foreign: DataFrame, bounds: DataFrame | None = None
+) -> DataFrame:
+    """(c, f) with similar whole names; a pair whose c lies within the bounds (f, low, high) that
+    are known already may be left out, since it changes neither end."""
+    f_wholes, c_wholes, wanted = foreign.select("whole"), catalogue.select("whole"), None
+    if bounds is not None:
+        # a bound counts only if every spelling of the whole name has it
+        f_wholes = foreign.join(bounds, "f", "left").groupBy("whole").agg(
+            F.when(F.count("low") == F.count("*"), F.max("low")).alias("low"),
+            F.when(F.count("low") == F.count("*"), F.min("high")).alias("high"),
+        )
+        c_wholes = catalogue.groupBy("whole").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high"))
+        within = (F.col("low") <= F.col("c_low")) & (F.col("c_high") <= F.col("high"))
+        wanted = ~F.coalesce(within, F.lit(False))
+    close = similar_pairs(f_wholes, c_wholes, N.NAME_SIMILARITY, wanted)
     return (
         close.select(F.col("a").alias("f_whole"), F.col("b").alias("c_whole"))
         .join(foreign.select("f", F.col("whole").alias("f_whole")), "f_whole")
@@ -216,8 +231,10 @@ def fuzzy_first(catalogue: DataFrame, name: str, foreign: DataFrame, other: str)
     c, f = _spellings(catalogue, name, "c"), _spellings(foreign, other, "f")
     c_keys, f_keys = _keyed(c, f)
     ends = [F.min("c").alias("low"), F.max("c").alias("high")]
-    by_parts = f_keys.join(c_keys.groupBy("key").agg(*ends), "key").select("f", "low", "high")
-    whole = _whole_pairs(c, f).groupBy("f").agg(*ends)
+    by_key = f_keys.join(c_keys.groupBy("key").agg(*ends), "key")
+    by_parts = by_key.groupBy("f").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    by_parts = stored(by_parts, "part-matches")
+    whole = _whole_pairs(c, f, by_parts).groupBy("f").agg(*ends)
     merged = (
         by_parts.unionByName(whole)
         .groupBy("f")

@@ -238,34 +238,32 @@ def test_answers(spark):
 
 # ---- extraction --------------------------------------------------------------------
 
-PAGE = """<html><head><script>var x = "<tr><td>no</td></tr>";</script></head><body>
-<div><h1>ADVANCED TOPICS</h1></div><table>
-<tr valign=top><{c} bgcolor=#99CCFF>Call Number</{c}>
- <td bgcolor=#DADADA>10072</td></tr>
-<tr valign=top><{c}>Day &amp; Time<br>Location</{c}>
- <td>TR 10:10am-11:25am<br>ONLINE ONLY</td></tr>
-<tr><{c}>Instructor</{c}><td>Gail E Kaiser - <a href="mailto:k@example.org">e-mail</a>, <a href=http://h/>homepage</a></td></tr>
-<tr><{c}>Course Description</{c}><td>Prerequisites: (COMS W3157) or equivalent. Emphasis on testing.
-</td></tr>
-<tr><{c}>Department</{c}><td><a target="_top" href="http://d/">Computer Science</a></td></tr>
-<tr><{c}>Enrollment</{c}><td>106 students (120 max) as of 12:04PM Thursday, May 20, 2021</td></tr>
-<tr><{c}>Number</{c}><td>W4156</td></tr>
-<tr><{c}>Open To</{c}><td>Barnard College, Engineering:Undergraduate, GSAS</td></tr>
+PAGE = """<html><body><table><tr><td>Menu</td></tr></table><!-- <tr><th>Points</th><td>9</td></tr> -->
+<h1>Weaving &amp; Dyeing</h1><h3>Workshop</h3><table class="facts">
+<tr><{c}>Points</{c}><td>1 <i>or</i> 2</td></tr>
+<tr id=a><{c}>Call Number</{c}><td>70707</td></tr>
+<tr><{c}>Day &amp; Time<br>Location</{c}><td>MW 9:05am-9:55am<br>HALL &Eacute; 7</td></tr>
+<tr><{c}>Instructor</{c}><td><b>N&uacute;ria O&#8217;Pell</b> - <a href="mailto:n@example.org">mail</a></td></tr>
+<tr><{c}>Course Description</{c}><td>Looms. Prerequisites: (ARTX W1000) or the instructor's permission.</td></tr>
+<tr><{c}>Department</{c}><td><div><a href="/d">Textile &#x41;rts</a></div></td></tr>
+<tr><{c}>Enrollment</{c}><td>7 students (12 max) as of 9:00AM Monday, March 4, 2024</td></tr>
+<tr><{c}>Number</{c}><td>W2002</td></tr><tr><{c}>Open To</{c}><td>First School, Second School:Evening</td></tr>
 </table></body></html>"""
 
 
 @pytest.mark.parametrize("cell", ["th", "td"])
 def test_class_page(spark, cell):
-    url = "http://dir.example.org/subj/COMS/W4156-20203-001/"
+    url = "http://dir.example.org/subj/ARTX/W2002-20241-003/"
     pages = spark.createDataFrame([(url, PAGE.replace("{c}", cell))], "url string, html string")
     r = extract.class_records(pages).collect()[0]
-    assert (r.class_id, r.course_code, r.call_number) == ("W4156-20203-001", "COMS W4156", "10072")
-    assert (r.instructor, r.department, r.course_title) == ("Gail E Kaiser", "Computer Science", "ADVANCED TOPICS")
-    assert (r.scheduled_days, r.scheduled_time_start, r.location) == ("TR", "10:10am", "ONLINE ONLY")
-    assert r.open_to == ["Barnard College", "Engineering:Undergraduate", "GSAS"]
-    assert r.prerequisites == [["COMS W3157"]]
-    assert r.enrollment == {"2021-05-20": "106/120"}
-    assert r.points is None and r.course_subtitle is None
+    assert (r.class_id, r.course_code, r.call_number) == ("W2002-20241-003", "ARTX W2002", "70707")
+    assert (r.instructor, r.department) == ("Núria O’Pell", "Textile Arts")
+    assert (r.course_title, r.course_subtitle, r.points.split()) == ("Weaving & Dyeing", "Workshop", ["1", "or", "2"])
+    assert (r.scheduled_days, r.scheduled_time_start, r.location) == ("MW", "9:05am", "HALL É 7")
+    assert r.open_to == ["First School", "Second School:Evening"]
+    assert r.prerequisites == [["ARTX W1000"]]
+    assert r.enrollment == {"2024-03-04": "7/12"}
+    assert r.campus is None and r.type is None
 
 
 def test_listing_page(spark):
