@@ -36,6 +36,27 @@ def stale(
     return last_check.isNull() | (last_check.cast("timestamp_ntz") < limit)
 
 
+def needs_refresh(
+    linked: Column,
+    last_search: Column,
+    last_update: Column,
+    key: Column,
+    as_of: dt.datetime,
+    days_min: int,
+    days_max: int,
+    literal: bool = False,
+) -> Column:
+    """Due by the time of the last search, and not a linked row whose update is still fresh.
+
+    `literal` skips linked rows whose update is due instead, which is what the rule says word by
+    word in older code and keeps fresh rows busy.
+    """
+    searched = stale(last_search, key, as_of, days_min, days_max)
+    updated = stale(last_update, key, as_of, days_min, days_max)
+    skipped = F.coalesce(linked, F.lit(False)) & (updated if literal else ~updated)
+    return searched & ~skipped
+
+
 def affiliated(
     affiliation: Column,
     email_domain: Column,

@@ -7,6 +7,7 @@ def _load() -> None:
     from rollbook.plans import (  # noqa: F401
         q_evaluate,
         q_functions,
+        q_jobs,
         q_models,
         q_ordered,
         q_pages,
