@@ -66,6 +66,36 @@ def score_one_vs_rest(models: Mapping[int, object], df: DataFrame) -> DataFrame:
     return df
 
 
+def fit_features(
+    train: DataFrame,
+    fit: Callable[[DataFrame], object],
+    extract_features: Callable[[DataFrame], DataFrame] | None = None,
+    balance: Callable[[DataFrame], DataFrame] | None = None,
+    label: str = "label",
+):
+    """`fit` on rows with features and label, after two replaceable steps.
+
+    `extract_features` makes the feature columns of any table, also of those scored later;
+    `balance` changes the rows of the training table only, e.g. `weigh_classes`.
+    """
+    made = extract_features(train) if extract_features else train
+    known = made.filter(F.col(label).isNotNull())
+    return fit(balance(known) if balance else known)
+
+
+def weigh_classes(train: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
+    """Add weights that give every class the same sum; no row is dropped or repeated."""
+    sizes = train.groupBy(label).agg(F.count("*").alias("_n"))
+    totals = sizes.agg(F.sum("_n").alias("_all"), F.count("*").alias("_classes"))
+    shares = sizes.crossJoin(totals)  # one row of totals
+    weight = (F.col("_all") / (F.col("_n") * F.col("_classes"))).alias(out)
+    return train.join(shares.select(label, weight), label)
+
+
+# Words of a text as lower-case runs of letters, digits and '_'.
+WORD_PATTERN = r"[^\p{L}\p{N}_]+"
+
+
 def weighted_text_classifier(
     train: DataFrame,
     text: str,
@@ -73,15 +103,24 @@ def weighted_text_classifier(
     weights: Mapping[int, float],
     width: int = 1 << 14,
     iterations: int = 20,
+    text_of: Callable[[DataFrame], Column] | None = None,
+    params: Mapping[str, object] | None = None,
 ) -> PipelineModel:
-    """Class-weighted logistic regression on hashed terms."""
+    """Class-weighted logistic regression on hashed terms.
+
+    `text_of` gives the text to tokenize from the other columns; it is written to `text`, so apply
+    it to tables that are scored as well. `params` are further settings of the regression.
+    """
+    if text_of is not None:
+        train = train.withColumn(text, text_of(train))
     w = F.lit(1.0)
     for k, v in weights.items():
         w = F.when(F.col(label) == k, F.lit(float(v))).otherwise(w)
+    settings = {"maxIter": iterations, "regParam": 0.01, **(params or {})}
     stages = [
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}\p{N}_]+"),
+        RegexTokenizer(inputCol=text, outputCol="_words", pattern=WORD_PATTERN),
         HashingTF(inputCol="_words", outputCol="features", numFeatures=width),
-        LogisticRegression(labelCol=label, weightCol="_weight", maxIter=iterations, regParam=0.01),
+        LogisticRegression(labelCol=label, weightCol="_weight", **settings),
     ]
     return Pipeline(stages=stages).fit(train.withColumn("_weight", w))
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators import extract, features, labelling, merge, quality
+from rollbook.operators import extract, features, filters, labelling, merge, models, quality
 from rollbook.sources.scratch import scratch_dir
 from rollbook.streaming import incremental
 
@@ -117,3 +117,39 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="share"):
         scratch_dir(Session(), "x")
+
+
+def test_feature_and_balance_hooks(spark):
+    df = spark.createDataFrame([(float(i), int(i > 35)) for i in range(40)] + [(99.0, None)], "x double, label int")
+    seen = {}
+
+    def fit(rows):
+        seen["weights"] = {r.label: round(r.w, 6) for r in rows.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+        return models.gaussian_nb(rows)
+
+    vectors = lambda d: models.with_vector(d.withColumn("v", F.array("x", F.col("x") * 2)), "v")
+    model = models.fit_features(df, fit, vectors, models.weigh_classes)
+    assert seen["weights"] == {0: 20.0, 1: 20.0}
+    scored = models.decide(model.transform(vectors(df.limit(40))), lambda s: (s[1] > 0.5).cast("int"))
+    assert scored.filter(F.col("predicted") == F.col("label")).count() >= 38
+
+
+def test_text_hook(spark):
+    df = spark.createDataFrame([("good", "text", 1), ("bad", "text", 0)] * 10, "a string, b string, label int")
+    both = lambda d: F.concat_ws(" ", d["a"], d["b"])
+    model = models.weighted_text_classifier(df, "t", "label", {0: 1.0, 1: 2.0}, 64, text_of=both, params={"regParam": 0.1})
+    assert model.stages[-1].getRegParam() == 0.1
+    scored = models.batch_infer(df.withColumn("t", both(df)), model)
+    assert scored.filter(F.col("predicted") != F.col("label")).count() == 0
+
+
+def test_refresh_rule(spark):
+    old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 29)
+    rows = [("a", True, old, old), ("b", True, old, new), ("c", False, old, new), ("d", True, new, old), ("e", None, None, None)]
+    df = spark.createDataFrame(rows, "k string, linked boolean, s timestamp_ntz, u timestamp_ntz")
+
+    def due(**kw):
+        rule = filters.needs_refresh(F.col("linked"), F.col("s"), F.col("u"), F.col("k"), dt.datetime(2024, 1, 30), 10, 10, **kw)
+        return [r.k for r in df.filter(rule).orderBy("k").collect()]
+
+    assert due() == ["a", "c", "e"] and due(literal=True) == ["b", "c", "e"]
