@@ -28,12 +28,36 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+_BORDER_SAMPLE = 4096  # text values that are looked at for borders; only speed depends on it
+
+
+def _text_buckets(df: DataFrame, order: str, buckets: int) -> DataFrame:
+    """Borders for a text column from values chosen by hash; a null comes before all texts."""
+    value = F.col(order)
+    seen = df.select(value.alias("v")).filter(value.isNotNull())
+    rows = seen.orderBy(F.xxhash64("v")).limit(_BORDER_SAMPLE).collect()
+    values = sorted({r["v"].encode() for r in rows})  # Spark compares texts as bytes
+    step = max(1, -(-len(values) // buckets))
+    cuts = [v.decode() for v in values[step::step]]
+
+    def place(low: int, high: int) -> Column:
+        """Number of cuts[low:high] that are not above the value, found by halving."""
+        if low == high:
+            return F.lit(float(low))
+        middle = (low + high) // 2
+        return F.when(value < cuts[middle], place(low, middle)).otherwise(place(middle + 1, high))
+
+    return df.withColumn("_bucket", F.when(value.isNull(), F.lit(-1.0)).otherwise(place(0, len(cuts))))
+
+
 def quantile_buckets(df: DataFrame, order: str, buckets: int = 256) -> DataFrame:
     """Add `_bucket`, monotone in `order`, with about equally many rows in each.
 
     One cheap pass over the single column finds at most `buckets` cut points, the only
     thing that reaches the driver. The cuts are then literals, so every later use agrees.
     """
+    if df.schema[order].dataType.typeName() == "string":
+        return _text_buckets(df, order, buckets)
     number = df.withColumn("_order", F.col(order).cast("double"))
     shares = [i / buckets for i in range(1, buckets)]
     found = number.approxQuantile("_order", shares, 0.5 / buckets)

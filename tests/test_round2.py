@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators import extract, features, filters, labelling, merge, models, quality
+from rollbook.operators import extract, features, filters, labelling, merge, models, ordered, quality
 from rollbook.sources.scratch import scratch_dir
 from rollbook.streaming import incremental
 
@@ -153,3 +153,11 @@ def test_refresh_rule(spark):
         return [r.k for r in df.filter(rule).orderBy("k").collect()]
 
     assert due() == ["a", "c", "e"] and due(literal=True) == ["b", "c", "e"]
+
+
+def test_positions_along_texts(spark):
+    words = [None, "", "é", "z", "漢", "a", "B", "b"] + [f"k{i:03}" for i in range(100)]
+    df = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "w string, i int")
+    got = {r.w: r.position for r in ordered.positions(df, "w", buckets=7).collect()}
+    order = sorted((w for w in words if w is not None), key=lambda w: w.encode())
+    assert got == {w: k + 1 for k, w in enumerate([None, *order])}
