@@ -79,6 +79,9 @@ def links(fps: DataFrame) -> DataFrame:
             ),
         )
     )
+    # 65 rows come of each: spread them first, since the table itself is small enough for few tasks
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = fps.repartition(parts, "fp")
     flips = fps.select("fp", F.explode(F.concat(F.array(F.lit(0).cast("long")), ball)).alias("flip"))
     points = flips.groupBy(F.col("fp").bitwiseXOR(F.col("flip")).alias("point")).agg(
         F.bit_or("flip").alias("flipped"), F.max((F.col("flip") == 0).cast("int")).alias("own")
