@@ -27,17 +27,22 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 VOTES_AT_ONCE = 1 << 16
 
 
-def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
-    """The unsigned fingerprint of a whole text; zero for a text without words."""
+def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
+    """Hashes of all shingles of a whole text; fewer words are one shingle."""
     words = (text or "").encode().translate(LOWER).split()  # splits at \x20, \x09-\x0D
-    if not words:
-        return 0
-    joined, k = b" ".join(words), min(shingle_words, len(words))
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = np.concatenate([[0], ends[:-1]])[: len(words) - k + 1]
+    joined, k = b" ".join(words), max(1, min(shingle_words, len(words)))
+    ends = np.cumsum([len(w) + 1 for w in words or [b""]])
+    starts = np.concatenate([[0], ends[:-1]])[: len(ends) - k + 1]
     hash_of = xxhash.xxh64_intdigest
     spans = zip(starts.tolist(), (ends[k - 1 :] - 1).tolist())
-    hashes = np.array([hash_of(joined[a:b], SEED) for a, b in spans], "<u8")
+    return np.array([hash_of(joined[a:b], SEED) for a, b in spans], "<u8")
+
+
+def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
+    """The unsigned fingerprint of a whole text; zero for a text without words."""
+    if not (text or "").strip(" \t\n\x0b\f\r"):
+        return 0
+    hashes = shingle_hashes(text, shingle_words)
     votes = np.zeros(64, np.int64)
     for i in range(0, len(hashes), VOTES_AT_ONCE):
         bits = np.unpackbits(hashes[i : i + VOTES_AT_ONCE].view(np.uint8), bitorder="little")
