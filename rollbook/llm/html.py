@@ -209,7 +209,10 @@ def main_blocks(found: list[Block], share: float = 0.25) -> list[Block]:
     def content(path: tuple[str, ...]) -> bool:
         if score[path] >= threshold:
             return True
-        return path[: len(container)] == container and 2 * links[path] <= chars[path]
+        if path[: len(container)] != container:
+            return False
+        # links are the article's own in its container; without one, the container may hold menus
+        return root is not None or path[-1].split(".")[0] in HEADINGS or 2 * links[path] <= chars[path]
 
     return [b for b in found if content(b.path)]
 

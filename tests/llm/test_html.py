@@ -58,3 +58,12 @@ def test_edge_rows(spark):
     assert [g[:2] for g in got] == [(0, "u"), (0, "u"), (1, None), (2, "u"), (3, "u")]
     assert [g[2][:11] for g in got] == ["a", "a", "", "deep, text.", "word, word."]
     assert got[4][2].count("\n\n") == 19_999 and extract(df.limit(0)).count() == 0
+
+
+def test_linked_heading_and_sources_stay():
+    page = """<body><nav><a href=/>Home</a></nav><article><h1><a href=/1>A linked title</a></h1>
+    <p>Some long text, with commas, and it goes on. And on it goes, for a while.</p>
+    <ul><li><a href=a>First source</a><li><a href=b>Second source</a></ul>
+    <table><tr><td><a href=c>Cell</a></table></article></body>"""
+    parts = main_text(page).split("\n\n")
+    assert parts[0] == "A linked title" and parts[2:] == ["First source", "Second source", "Cell"]
