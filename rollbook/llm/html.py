@@ -3,7 +3,8 @@
 A page is read into blocks of text, each under its root-to-leaf path of block tags.  Text length and
 punctuation are summed per path, divided by the path's number of blocks, smoothed along the page
 and fused; paths above a share of the best are content, with the other text paths in their
-container.  Subtrees that are page furniture by their tag, role or class take no part.
+container; within an article or main, links are text like any other.  Subtrees that are page
+furniture by their tag, role or class take no part, but a class or id does not hide a wrapper.
 """
 
 from __future__ import annotations
@@ -51,6 +52,10 @@ ENDS_ITSELF = {
 }
 HOLDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",)}
 ROOTS = ("article", "main")
+# Hints after these say what a wrapper has beside its text, not what it is.
+LAYOUT = frozenset("has have hide no with without".split())
+# Hints of what others wrote or what leads elsewhere, which can be longer than the article.
+OTHERS = frozenset("comment comments disqus related reply replies".split())
 
 
 @dataclass
@@ -58,7 +63,9 @@ class _Element:
     name: str
     path: str
     hard: bool = False  # furniture by tag or role
-    soft: bool = False  # furniture by class or id, unless an article lies inside
+    soft: bool = False  # furniture by class or id, unless `_lifted` finds it to be a wrapper
+    others: bool = False  # by one of OTHERS, but no article of its own
+    titled: bool = False  # an h1 or main lies inside
 
 
 @dataclass
@@ -68,12 +75,14 @@ class Block:
     link_chars: int
     in_root: bool
     pieces: list[str] = field(default_factory=list, repr=False)
+    root: _Element | None = field(default=None, repr=False)  # the outermost article or main
+    marks: tuple[_Element, ...] = field(default=(), repr=False)  # soft elements around
 
 
-def _furniture(name: str, attributes: str) -> tuple[bool, bool, str]:
-    """(by tag or role, by class or id, label for the path)."""
+def _furniture(name: str, attributes: str) -> tuple[bool, frozenset[str], str]:
+    """(by tag or role, hints of class and id, label for the path)."""
     if not attributes or attributes.isspace() or attributes == "/":
-        return name in FURNITURE, False, name
+        return name in FURNITURE, frozenset(), name
     got = {}
     for m in ATTRIBUTE.finditer(attributes):
         got.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
@@ -84,10 +93,16 @@ def _furniture(name: str, attributes: str) -> tuple[bool, bool, str]:
         or got.get("aria-hidden", "").lower() == "true"
     )
     marks = f"{got.get('class', '')} {got.get('id', '')}".lower()
-    parts = re.split(r"[^a-z0-9]+", marks)
-    soft = name not in ("html", "body", *ROOTS) and not HINTS.isdisjoint(parts)
+    hints = set()
+    if name not in ("html", "body", "main"):
+        for mark in marks.split():
+            parts = re.split(r"[^a-z0-9]+", mark)
+            if LAYOUT.isdisjoint(parts):
+                hints |= HINTS.intersection(parts)
+    if name == "article":  # others' words; an article of a banner or the like is one
+        hints &= OTHERS
     classes = ".".join(sorted(got.get("class", "").split()))
-    return hard, soft, f"{name}.{classes}" if classes else name
+    return hard, frozenset(hints), f"{name}.{classes}" if classes else name
 
 
 def blocks(page: str) -> list[Block]:
@@ -103,7 +118,9 @@ def blocks(page: str) -> list[Block]:
         if text and shown():
             links = sum(len(p.strip()) for p, linked in pieces if linked)
             path = tuple(e.path for e in stack if e.name not in INLINE)
-            out.append(Block(path, text, links, any(e.name in ROOTS for e in stack)))
+            root = next((e for e in stack if e.name in ROOTS), None)
+            marks = tuple(e for e in stack if e.soft)
+            out.append(Block(path, text, links, root is not None, root=root, marks=marks))
         pieces.clear()
 
     def shown() -> bool:
@@ -113,7 +130,7 @@ def blocks(page: str) -> list[Block]:
                 inside = any(n in ROOTS for n in names[:k])
                 if not (inside and any(n in HEADINGS for n in names[k:])):
                     return False
-            elif e.hard or e.soft:
+            elif e.hard:
                 return False
         return True
 
@@ -160,15 +177,52 @@ def blocks(page: str) -> list[Block]:
             continue
         if m[3].endswith("/") and name not in INLINE:
             continue
-        hard, soft, label = _furniture(name, m[3])
-        if name in ROOTS:
+        hard, hints, label = _furniture(name, m[3])
+        if name in ("h1", "main") and not hard and not any(e.hard for e in stack if e.name != "header"):
             for e in stack:
-                e.soft = False
-        stack.append(_Element(name, label, hard, soft))
+                e.titled = True
+        alone = name == "article" and not any(e.name in ROOTS for e in stack)
+        others = not alone and not OTHERS.isdisjoint(hints)
+        stack.append(_Element(name, label, hard, bool(hints), others))
     if at < len(page):
         pieces.append((html.unescape(page[at:]), any(e.name == "a" for e in stack)))
     flush()
-    return out
+    return _lifted(out)
+
+
+def _lifted(found: list[Block]) -> list[Block]:
+    """Without the blocks of soft elements that are no wrappers of the page's text.
+
+    A wrapper has the title or main in it, or most of the text; the words of others may be most of a
+    page, so text alone does not lift those.
+    """
+    total, inside = 0, defaultdict(int)
+    for b in found:
+        own = len(b.text) - min(b.link_chars, len(b.text))
+        total += own
+        for e in b.marks:
+            inside[id(e)] += own
+
+    def wraps(e: _Element) -> bool:
+        return e.titled or (2 * inside[id(e)] > total and not e.others)
+
+    return [b for b in found if all(map(wraps, b.marks))]
+
+
+def _rooted(found: list[Block], share: float) -> list[Block]:
+    """The blocks of the best article or main and of those that come near it.
+
+    All blocks, if the best one does not come near what lies outside.
+    """
+    score: dict[int | None, float] = defaultdict(float)
+    for b in found:
+        own = len(b.text) - min(b.link_chars, len(b.text))
+        score[b.root and id(b.root)] += own * float(np.log2(2 + len(PUNCTUATION.findall(b.text))))
+    outside = score.pop(None, 0.0)
+    best = max(score.values(), default=0.0)
+    if not score or best < share * outside:
+        return found
+    return [b for b in found if b.root and score[id(b.root)] >= share * best]
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
@@ -180,8 +234,7 @@ def _smooth(values: np.ndarray) -> np.ndarray:
 
 def main_blocks(found: list[Block], share: float = 0.25) -> list[Block]:
     """Those under paths whose fused ratio is at least `share` of the best, and their container's."""
-    if any(b.in_root for b in found):
-        found = [b for b in found if b.in_root]
+    found = _rooted(found, share)
     if not found:
         return []
     chars, points, links, count = (defaultdict(int) for _ in range(4))

@@ -67,3 +67,19 @@ def test_linked_heading_and_sources_stay():
     <table><tr><td><a href=c>Cell</a></table></article></body>"""
     parts = main_text(page).split("\n\n")
     assert parts[0] == "A linked title" and parts[2:] == ["First source", "Second source", "Cell"]
+
+
+def test_comments_are_no_article_and_wrappers_no_furniture():
+    text = "<p>The story, which is long enough, goes on. And on it goes, with commas.</p>"
+    comment = "<p>A reader, who liked it, wrote this. And much more, and more, and more of it, too.</p>" * 3
+    outside = f"<body><div class='post'>{text}</div><section class='comments'><article>{comment}</article></section>"
+    nested = f"<body><article><h1>Title</h1>{text}<article class='comment'>{comment}</article></article>"
+    deep = f"<body><article><h1>Title</h1>{text}<div id='comments'><article>{comment}</article></div></article>"
+    teaser = f"<body><div class='post'>{text * 3}</div><article><p>A teaser, short.</p></article>"
+    for page in (outside, nested, deep, teaser):
+        assert "The story" in main_text(page) and "reader" not in main_text(page), page
+    for mark in ("no-sidebar", "has-sidebar", "layout with-banner", "sidebar-left"):
+        for at in ("class", "id"):
+            assert "The story" in main_text(f"<body><div {at}='{mark}'>{text}</div><div class='sidebar'><p>Side.</p></div>")
+    two = f"<body><article>{text}</article><article>{text.replace('story', 'other')}</article>"
+    assert main_text(two).count("\n\n") == 1
