@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, chat, exact, html, licenses, packing, quality, simhash, suffix, urls
+from rollbook.llm import bpe, chat, exact, html, licenses, packing, quality, shards, simhash, suffix, urls
 from rollbook.llm.registry import query
 from rollbook.sources.scratch import stored
 
@@ -102,3 +103,18 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op13_sharding")
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    return shards.shard_rows(docs, 16).select(
+        "doc.doc_id", "doc.size", "doc.text_crc32", F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "doc.source",
+    )
