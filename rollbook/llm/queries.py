@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, chat, exact, html, licenses, packing, quality, shards, simhash, suffix, urls
+from rollbook.llm import bpe, chat, exact, html, interaction, licenses, packing, quality, shards, simhash, suffix, urls
 from rollbook.llm.registry import query
 from rollbook.sources.scratch import stored
 
@@ -118,3 +118,53 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc.doc_id", "doc.size", "doc.text_crc32", F.lit("rows").alias("law"),
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "doc.source",
     )
+
+
+@query(
+    "op12_filter_audit",
+    r"""
+    WITH t AS (
+      SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+      FROM documents
+    ), f AS (
+      SELECT doc_id, part,
+             CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+             || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+      FROM t
+    ), l AS (
+      SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+    ), m AS (
+      SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+    ), c AS (
+      SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+    ), o AS (
+      SELECT c1.x || c2.x || c3.x || c4.x || c5.x AS filter_order
+      FROM c c1, c c2, c c3, c c4, c c5
+      WHERE len(list_distinct([c1.x, c2.x, c3.x, c4.x, c5.x])) = 5
+    ), s AS (
+      SELECT filter_order, i::INT AS step, filter_order[i] AS x, left(filter_order, i - 1) AS before
+      FROM o, range(1, 6) AS r(i)
+    ), j AS (
+      SELECT *, contains(fails, x) AS hit, translate(fails, before, '') <> fails AS gone FROM m, s
+    ), g AS (
+      SELECT part, filter_order, step, x,
+             coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (fails = x), 0)::BIGINT AS unique_fails,
+             coalesce(sum(n_good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+             coalesce(sum(n_toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+      FROM j GROUP BY part, filter_order, step, x
+    )
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+    FROM g
+    """,
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
