@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bpe, chat, exact, html, interaction, licenses, packing, quality, shards, simhash, suffix, urls
+from rollbook.llm import (
+    bpe, chat, exact, html, interaction, licenses, packing, quality, repair, shards, simhash, suffix, urls,
+)
 from rollbook.llm.registry import query
 from rollbook.sources.scratch import stored
 
@@ -168,3 +170,9 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.report(turns, repair.damaged(turns))
