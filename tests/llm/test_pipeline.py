@@ -2,8 +2,9 @@
 
 import numpy as np
 import public_tokenizers as public
-from test_simhash import plain_components, plain_fingerprint
+from test_similar import plain_kept
 from test_suffix import plain
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -30,8 +31,8 @@ def test_stages(spark):
         last[r.text] = max(last.get(r.text, -1), r.doc_id)
     assert {(r.text, r.doc_id) for r in tables["exact"]} == set(last.items())
     assert len(tables["exact"]) == len(last)
-    component = plain_components({r.doc_id: plain_fingerprint(r.text) for r in tables["exact"]})
-    assert {r.doc_id for r in tables["near"]} == set(component.values())
+    rows = tables["exact"]
+    assert {r.doc_id for r in tables["near"]} == {rows[i].doc_id for i in plain_kept([(r.doc_id, r.text) for r in rows])}
     want = plain({r.doc_id: r.text for r in tables["near"]}, 100)
     before = {r.doc_id: r for r in tables["near"]}
     for r in tables["repeats"]:
@@ -49,6 +50,29 @@ def test_stages(spark):
         assert np.frombuffer(b"".join(by_doc[r.doc_id]), "<u4").tolist() == ids
 
 
+# columns that some operator has for itself
+CLASHING = (
+    "n_bytes", "none", "n_spans", "n_removed", "kept_sha256", "kept_text", "n_words", "n_lines", "kept",
+    "base_failed", "__c", "__key", "__limits", "key", "id", "row", "ref", "rest", "doc", "whole", "digest",
+    "root", "name", "check", "body", "length", "piece",
+)
+
+
+def test_columns_of_the_caller_come_back(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns(
+        {c: F.concat(F.lit(f"{c} of "), "doc_id") for c in CLASHING}
+    )
+    for name, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, docs, SF)
+        if name == "pack":
+            assert kept.count() >= docs.count()
+            break
+        assert kept.columns == docs.columns
+        docs = spark.createDataFrame(kept.collect(), kept.schema)
+        rows = docs.collect()
+        assert rows and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in CLASHING)
+
+
 def test_registered(spark):
     assert queries()["pipeline"](spark, SF).count() > 0
 
