@@ -33,4 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables that `stored` returned, once nothing that will still run reads them."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
