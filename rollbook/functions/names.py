@@ -1,4 +1,4 @@
-"""Person-name functions: token columns on the JVM, Jaro-Winkler as an Arrow UDF."""
+"""Person-name functions, all of them column expressions; `jaro_winkler` states one in plain Python."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollbook.functions.higher import let
+
 # When two name parts, and two whole names, count as the same.
 TOKEN_SIMILARITY = 0.95
 NAME_SIMILARITY = 0.97
@@ -97,6 +99,7 @@ def jaro_winkler(a: str, b: str) -> float:
     return score
 
 
+# for SQL text, which cannot call a column expression
 @F.pandas_udf(T.DoubleType())
 def _jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(
@@ -105,34 +108,118 @@ def _jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
-def str_similarity(a: Column, b: Column) -> Column:
-    """Jaro-Winkler on lower-cased text. Apply to distinct pairs: it runs in Python."""
-    return _jaro_winkler_udf(F.lower(a), F.lower(b))
+_TAKEN = "\uffff"  # in place of a letter that has a partner; no character of any text
+
+
+def _letters(c: Column) -> Column:
+    return F.filter(F.split(c, ""), lambda x: x != "")
+
+
+def _partners(a: Column, b: Column, reach: Column) -> Column:
+    """(rest, hits): b with the letters taken that those of a, in order, find within `reach` places,
+    each the first that is free; hits are the letters of a that found one."""
+    start = F.struct(b.alias("rest"), F.lit("").alias("hits"))
+
+    def step(state: Column, x: Column) -> Column:
+        first = F.greatest(x["at"] - reach, F.lit(0)) + 1
+        found = F.call_function("locate", x["letter"], state["rest"], first)
+        return let(
+            found,
+            lambda p: F.when(
+                (p > 0) & (p <= x["at"] + reach + 1),
+                F.struct(
+                    F.overlay(state["rest"], F.lit(_TAKEN), p, F.lit(1)).alias("rest"),
+                    F.concat(state["hits"], x["letter"]).alias("hits"),
+                ),
+            ).otherwise(state),
+        )
+
+    placed = F.transform(_letters(a), lambda x, i: F.struct(x.alias("letter"), i.alias("at")))
+    return F.aggregate(placed, start, step)
 
 
-def _same_person(text_tokens, search_tokens, text: str, search: str) -> bool:
-    def enough(hits: int) -> bool:
-        return hits >= 2 or (hits == 1 and len(text_tokens) == 1)
+_STEPS = (32, 16, 8, 4, 2, 1)
 
-    if enough(len(set(text_tokens) & set(search_tokens))):
-        return True
-    close = sum(
-        any(jaro_winkler(t, s) >= TOKEN_SIMILARITY for s in search_tokens) for t in text_tokens
+
+def _common_start(a: Column, b: Column) -> Column:
+    """How many of the first 63 letters are the same in both texts, up to the first that is not."""
+    shorter = F.least(F.length(a), F.length(b))
+
+    def step(n: Column, k: Column) -> Column:
+        same = F.substring(a, n + 1, k) == F.substring(b, n + 1, k)
+        return F.when((n + k <= shorter) & same, n + k).otherwise(n)
+
+    return F.aggregate(F.array(*[F.lit(k) for k in _STEPS]), F.lit(0), step)
+
+
+def _jaro(a: Column, b: Column, start: Column) -> Column:
+    """Jaro similarity of two texts that are not empty and have their first `start` letters in common.
+
+    These are partners of each other, so only the letters behind them are compared.
+    """
+    la, lb = F.length(a), F.length(b)
+    ends = F.struct(
+        F.substring(a, start + 1, la).alias("a"),
+        F.substring(b, start + 1, lb).alias("b"),
+        F.greatest(F.floor(F.greatest(la, lb) / 2).cast("int") - 1, F.lit(0)).alias("reach"),
     )
-    return enough(close) or jaro_winkler(search, text) >= NAME_SIMILARITY
 
+    def score(b_end: Column, found: Column) -> Column:
+        taken = F.filter(
+            _letters(b_end), lambda x, i: F.substring(found["rest"], i + 1, F.lit(1)) == _TAKEN
+        )
+        moved = F.size(F.filter(F.zip_with(_letters(found["hits"]), taken, lambda x, y: x != y), lambda d: d))
+        m = F.length(found["hits"]) + start
+        orderly = (m - F.floor(moved / 2)) / m
+        return F.when(m == 0, F.lit(0.0)).otherwise((m / la + m / lb + orderly) / 3.0)
 
-@F.pandas_udf(T.BooleanType())
-def _same_person_udf(
-    text_tokens: pd.Series, search_tokens: pd.Series, text: pd.Series, search: pd.Series
-) -> pd.Series:
-    return pd.Series(
-        [
-            None if t is None or s is None else _same_person(tt, st, t, s)
-            for tt, st, t, s in zip(text_tokens, search_tokens, text, search)
-        ],
-        dtype="object",
+    return let(ends, lambda e: let(_partners(e["a"], e["b"], e["reach"]), lambda f: score(e["b"], f)))
+
+
+def jaro_winkler_of(a: Column, b: Column) -> Column:
+    """`jaro_winkler` as a column expression; null if either is null."""
+
+    def boosted(start: Column, jaro: Column) -> Column:
+        up = 0.1 * F.least(start, F.lit(4)) * (1.0 - jaro)
+        return F.when(jaro > 0.7, jaro + up).otherwise(jaro)
+
+    def similarity(start: Column) -> Column:
+        return let(_jaro(a, b, start), lambda jaro: boosted(start, jaro))
+
+    return (
+        F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
+        .when(a == b, F.lit(1.0))
+        .when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0.0))
+        .otherwise(let(_common_start(a, b), similarity))
+    )
+
+
+def str_similarity(a: Column, b: Column) -> Column:
+    """Jaro-Winkler on lower-cased text."""
+    return let(F.struct(F.lower(a).alias("a"), F.lower(b).alias("b")), lambda x: jaro_winkler_of(x["a"], x["b"]))
+
+
+def _at_least(a: Column, b: Column, threshold: float) -> Column:
+    """Similarity of at least a threshold above 0.7; lengths that cannot reach it are not compared."""
+    # with all letters of the shorter in the longer and four equal first ones
+    ratio = 3.0 * (threshold - 0.4) / 0.6 - 2.0
+    la, lb = F.length(a), F.length(b)
+    possible = F.least(la, lb) >= F.greatest(la, lb) * (ratio - 1e-9)
+    return (a == b) | (possible & (jaro_winkler_of(a, b) >= threshold))
+
+
+def _same_person(x: Column) -> Column:
+    """Of a struct (text, search, text_parts, search_parts)."""
+    parts, known = x["text_parts"], x["search_parts"]
+
+    def enough(hits: Column) -> Column:
+        return (hits >= 2) | ((hits == 1) & (F.size(parts) == 1))
+
+    shared = F.size(F.array_intersect(parts, known))
+    close = F.size(
+        F.filter(parts, lambda t: F.exists(known, lambda s: _at_least(t, s, TOKEN_SIMILARITY)))
     )
+    return enough(shared) | enough(close) | _at_least(x["search"], x["text"], NAME_SIMILARITY)
 
 
 def words_match2(search: Column, text: Column) -> Column:
@@ -143,7 +230,13 @@ def words_match2(search: Column, text: Column) -> Column:
     columns use `operators.fuzzy`, which does not compare all pairs.
     """
     s, t = name_order(search), name_order(text)
-    return _same_person_udf(name_tokens(t), name_tokens(s), F.lower(t), F.lower(s))
+    sides = F.struct(
+        F.lower(t).alias("text"),
+        F.lower(s).alias("search"),
+        name_tokens(t).alias("text_parts"),
+        name_tokens(s).alias("search_parts"),
+    )
+    return F.when(text.isNotNull() & search.isNotNull(), let(sides, _same_person))
 
 
 def register(spark) -> None:

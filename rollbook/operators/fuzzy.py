@@ -7,7 +7,7 @@ similarity 1, so two joins decide everything:
 * parts: the distinct parts of both sides are paired by similarity once. Then each side
   emits keys made of *two* parts; a joined key is already a match, so a part that a third
   of all names hold ('maria') builds no candidates on its own.
-* whole names: see `similar_pairs`.
+* whole names: keys that hold what two similar names have in common exactly (`similar_pairs`).
 
 Both sides are reduced to distinct spellings first. `fuzzy_first` answers "first match,
 and is there more than one" from `min` and `max` per key, so even a key shared by very
@@ -41,11 +41,6 @@ def _budget(threshold: float, prefix: int) -> float:
     return 3.0 * (1.0 - (threshold - p) / (1.0 - p)) + _EPS
 
 
-def _missing(budget: float, longer: Column) -> Column:
-    """Most unpartnered letters of both sides together, given the longer length."""
-    return F.floor(F.lit(budget) * longer).cast("int")
-
-
 def _letters(c: Column) -> Column:
     return F.array_sort(F.filter(F.split(c, ""), lambda x: x != ""))
 
@@ -54,51 +49,91 @@ def _count_of(c: Column, letter: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, letter, F.lit("")))
 
 
-def _block_keys(value: Column, letters: Column, longer_role: bool, threshold: float) -> Column:
-    """Array of exact block keys of one string.
+# The keys are written as SQL text: as nested Columns they take seconds to put together.
+_NONE = "cast(array() AS array<string>)"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _without_one(text: str) -> str:
+    """The text without one of its letters, once per different result."""
+    cut = f"concat(substring({text}, 1, i - 1), substring({text}, i + 1))"
+    return f"if(length({text}) > 0, array_distinct(transform(sequence(1, length({text})), i -> {cut})), {_NONE})"
+
+
+def _without_two(text: str) -> str:
+    return f"array_distinct(flatten(transform({_without_one(text)}, y -> {_without_one('y')})))"
 
-    For a pair let M be the longer length and D the most letters that can lack a partner.
-    The alphabet is cut into D + 2 classes; D letters spoil at most D of them, so at
-    least two classes have equal letters on both sides (D = 0: all letters are equal).
-    Key: (prefix family, prefix, M, two classes, their letters). The shorter side does
-    not know M and emits the keys of each possible M.
+
+def _tagged(tag: str, texts: str) -> str:
+    return f"transform({texts}, z -> concat('{tag}', z))"
+
+
+def _close_keys(rest: str, ordered: str, gap: str, most: str, longer_role: bool) -> str:
+    """Keys of one string for pairs that at most `most` <= 2 letters and moves keep apart.
+
+    rest is the text behind the common start, whose letters are partners of each other, `ordered`
+    the same letters sorted.  A pair has da letters of the longer and db of the shorter side without
+    a partner, da - db = gap, and what is left of `most` are half moves.  Without a half move the
+    partners stand in one order on both sides, so the texts without the other letters are equal;
+    else their sorted letters are.
     """
-    size = F.length(value)
+    one = lambda tag, text: f"array(concat('{tag}', {text}))"
+    moved = f"if({most} = 2, {_tagged('p', _without_one(rest))}, {_NONE})"
+    same = f"if({most} = 0, {one('e', rest)}, concat({one('s', ordered)}, {moved}))"
+    if longer_role:
+        by_one = f"if({most} = 1, {_tagged('u', _without_one(rest))}, {_tagged('t', _without_one(ordered))})"
+        by_two = f"if({most} = 2, {_tagged('v', _without_two(rest))}, {_NONE})"
+        return f"concat({same}, if({most} >= 1, {by_one}, {_NONE}), {by_two})"
+    by_one = f"if({most} = 1, {one('u', rest)}, {one('t', ordered)})"
+    return (
+        f"CASE WHEN {gap} > {most} THEN {_NONE} WHEN {gap} = 0 THEN {same} "
+        f"WHEN {gap} = 1 THEN {by_one} ELSE {one('v', rest)} END"
+    )
 
-    def family(prefix: int, worst: int) -> Column:
-        budget = _budget(threshold, worst)
-        top = F.floor(size / F.lit(1.0 - budget)).cast("int")
-        lengths = F.array(size) if longer_role else F.sequence(size, F.greatest(top, size))
-        head = F.concat(F.lit(f"{prefix}|"), F.substring(value, 1, prefix), F.lit("|"))
-
-        def of_length(m: Column) -> Column:
-            classes = _missing(budget, m) + 2
-            parts = F.transform(
-                F.sequence(F.lit(0), classes - 1),
-                lambda k: F.array_join(
-                    F.filter(letters, lambda x: F.pmod(F.ascii(x), classes) == k), ""
-                ),
-            )
-            start = F.concat(head, m.cast("string"))
-            return let(
-                parts,
-                lambda ps: F.flatten(
-                    F.transform(
-                        ps,
-                        lambda p, i: F.transform(
-                            F.slice(ps, i + 2, F.size(ps)),
-                            lambda q, j: F.concat_ws(
-                                "|", start, i.cast("string"), j.cast("string"), p, q
-                            ),
-                        ),
-                    )
-                ),
-            )
 
-        keys = F.flatten(F.transform(lengths, of_length))
-        return F.when(size >= prefix, keys).otherwise(F.array().cast("array<string>"))
+def _class_keys(letters: str, classes: str, start: str) -> str:
+    """Keys of two classes of letters each."""
+    parts = (
+        f"transform(sequence(0, {classes} - 1), "
+        f"k -> array_join(filter({letters}, x -> pmod(ascii(x), {classes}) = k), ''))"
+    )
+    pair = f"concat_ws('|', {start}, cast(i AS string), cast(j AS string), p, q)"
+    pairs = f"flatten(transform(ps, (p, i) -> transform(slice(ps, i + 2, size(ps)), (q, j) -> {pair})))"
+    return _let("ps", parts, pairs)
+
 
-    return F.concat(family(0, 0), family(1, 3), family(4, 4))
+def _block_keys(value: str, letters: str, longer_role: bool, threshold: float) -> Column:
+    """Array of exact block keys of one string, from the columns that hold it and its letters.
+
+    For a pair let M be the longer length and D the most letters that can lack a partner, half
+    moves included. For D <= 2 see `_close_keys`. Else the alphabet is cut into D + 2 classes; D
+    letters spoil at most D of them, so at least two classes have equal letters on both sides.
+    Key: (prefix family, prefix, M, what is equal). The shorter side does not know M and emits the
+    keys of each possible M.
+    """
+
+    def family(prefix: int, worst: int) -> str:
+        budget = _budget(threshold, worst)
+        n = f"length({value})"
+        top = f"greatest({n}, cast(floor({n} / {1.0 - budget!r}D) AS int))"
+        lengths = f"array({n})" if longer_role else f"sequence({n}, {top})"
+        most = f"cast(floor({budget!r}D * m) AS int)"
+        start = f"concat('{prefix}|', substring({value}, 1, {prefix}), '|', cast(m AS string))"
+        close = _close_keys("w.rest", "w.ordered", f"(m - {n})", "w.most", longer_role)
+        close = f"transform({close}, c -> concat_ws('|', w.start, c))"
+        keys = f"if(w.most <= 2, {close}, {_class_keys(letters, '(w.most + 2)', 'w.start')})"
+        rest = f"substring({value}, {prefix + 1})"
+        known = (
+            f"named_struct('rest', {rest}, 'most', {most}, 'start', {start}, "
+            f"'ordered', array_join(array_sort(split({rest}, '')), ''))"
+        )
+        of_lengths = f"flatten(transform({lengths}, m -> {_let('w', known, keys)}))"
+        return f"if({n} >= {prefix}, {of_lengths}, {_NONE})"
+
+    return F.expr(f"concat({family(0, 0)}, {family(1, 3)}, {family(4, 4)})")
 
 
 def similar_pairs(
@@ -106,19 +141,21 @@ def similar_pairs(
 ) -> DataFrame:
     """All pairs (a, b) of two distinct-value tables with Jaro-Winkler >= threshold.
 
-    Lossless blocking on letter classes (`_block_keys`), a letter-count check on the JVM,
-    and the similarity itself only for what is left. No block key is capped. Further columns of
+    Lossless blocking (`_block_keys`), a letter-count check, and the similarity itself only for what
+    is left. No block key is capped. Further columns of
     the tables, which must be unique per value, come along for `wanted`, a condition that spares
     pairs the scoring.
     """
     extra = [*left.columns[1:], *right.columns[1:]]
+    # few bytes and much work per row: a fixed number of tasks, which sizes alone would merge
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def prepared(df: DataFrame, out: str) -> DataFrame:
         one = df.withColumnRenamed(df.columns[0], out).filter(F.length(out) > 0).distinct()
-        return one.withColumn(f"_l{out}", _letters(F.col(out)))
+        return one.repartition(parts, out).withColumn(f"_l{out}", _letters(F.col(out)))
 
     def blocked(df: DataFrame, c: str, longer_role: bool) -> DataFrame:
-        keys = _block_keys(F.col(c), F.col(f"_l{c}"), longer_role, threshold)
+        keys = _block_keys(c, f"_l{c}", longer_role, threshold)
         rest = [x for x in df.columns if x in extra]
         return df.select(c, *rest, F.explode(F.array_distinct(keys)).alias("_key"))
 
@@ -129,18 +166,19 @@ def similar_pairs(
     both = a_longer.filter(la >= lb).unionByName(b_longer.filter(la < lb))
     if wanted is not None:
         both = both.filter(wanted)
-    once = both.select("a", "b").distinct()  # a pair usually shares several keys
+    # a pair may share several keys
+    once = both.select("a", "b").repartition(parts, "a", "b").distinct()
     shared = F.aggregate(
         F.array_distinct(_letters(F.col("a"))),
         F.lit(0),
         lambda acc, x: acc
         + F.least(_count_of(F.col("a"), x), _count_of(F.col("b"), x)),
     )
-    pairs = once.filter(shared / la + shared / lb >= F.lit(2.0 - _budget(threshold, 4)))
-    scored = pairs.withColumn(
-        "similarity", F.when(F.col("a") == F.col("b"), F.lit(1.0)).otherwise(N.str_similarity(F.col("a"), F.col("b")))
-    )
-    return scored.filter(F.col("similarity") >= threshold)
+    least = 2.0 - _budget(threshold, 4)
+    pairs = once.filter(let(shared, lambda m: m / la + m / lb >= least))
+    # a filter on a column would compute it a second time
+    reached = F.filter(F.array(N.jaro_winkler_of(F.col("a"), F.col("b"))), lambda s: s >= threshold)
+    return pairs.select("a", "b", F.explode(reached).alias("similarity"))
 
 
 def _spellings(df: DataFrame, column: str, out: str) -> DataFrame:
