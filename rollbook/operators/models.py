@@ -6,6 +6,7 @@ the driver. Class weights, decision rule and features are passed in.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -44,6 +45,71 @@ def gaussian_nb(train: DataFrame, label: str = "label", features: str = "feature
     return NaiveBayes(modelType="gaussian", labelCol=label, featuresCol=features).fit(train)
 
 
+def class_moments(df: DataFrame, label: str, values: str) -> DataFrame:
+    """(label, dim, n, total, squares) of an array column: partial sums that can be added up.
+
+    Rows without a label and values that are null or no number are left out.
+    """
+    each = df.where(F.col(label).isNotNull()).select(
+        F.col(label).alias("label"), F.posexplode(values).alias("dim", "x")
+    )
+    x = F.col("x").cast("double")
+    each = each.where(x.isNotNull() & ~F.isnan(x))
+    return each.groupBy("label", "dim").agg(
+        F.count("*").alias("n"), F.sum(x).alias("total"), F.sum(x * x).alias("squares")
+    )
+
+
+def merge_moments(*parts: DataFrame) -> DataFrame:
+    """The moments of all batches from those of each."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("label", "dim").agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])
+
+
+def moments_model(moments: DataFrame) -> DataFrame:
+    """One row: classes, an array of (label, prior, means, variances), labels in order.
+
+    Variances get a billionth of the largest one over all rows, so none is zero. The row grows with
+    classes and dimensions only.
+    """
+    variance = F.greatest(F.col("squares") / F.col("n") - F.pow(F.col("total") / F.col("n"), F.lit(2.0)), F.lit(0.0))
+    over_all = moments.groupBy("dim").agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])
+    floor = over_all.agg((F.max(variance) * 1e-9).alias("floor"))
+    sizes = moments.groupBy("label").agg(F.max("n").alias("rows"))
+    total = sizes.agg(F.sum("rows").alias("all"))
+    cells = moments.crossJoin(F.broadcast(floor))  # one row
+    cells = cells.select("label", "dim", (F.col("total") / F.col("n")).alias("mean"), (variance + F.col("floor")).alias("variance"))
+    lists = F.array_sort(F.collect_list(F.struct("dim", "mean", "variance")))
+    per_label = cells.groupBy("label").agg(lists.alias("cells")).join(sizes, "label")
+    per_label = per_label.crossJoin(F.broadcast(total))  # one row
+    parts = F.struct(
+        "label",
+        F.log(F.col("rows") / F.col("all")).alias("prior"),
+        F.col("cells.mean").alias("means"),
+        F.col("cells.variance").alias("variances"),
+    )
+    return per_label.agg(F.array_sort(F.collect_list(parts)).alias("classes"))
+
+
+def score_moments(df: DataFrame, model: DataFrame, values: str) -> DataFrame:
+    """Add `scores`, the log-likelihood of every class with its prior, and `predicted`, the label of
+    the largest, of equal ones the least label."""
+
+    def likelihood(c: Column) -> Column:
+        cells = F.arrays_zip(F.col(values).alias("x"), c["means"].alias("mean"), c["variances"].alias("variance"))
+        term = lambda z: -0.5 * F.log(2.0 * math.pi * z["variance"]) - F.pow(
+            z["x"].cast("double") - z["mean"], F.lit(2.0)
+        ) / (2.0 * z["variance"])
+        return F.aggregate(cells, c["prior"], lambda acc, z: acc + F.coalesce(term(z), F.lit(0.0)))
+
+    scored = df.crossJoin(F.broadcast(model))  # one row
+    scored = scored.withColumn("scores", F.transform("classes", likelihood))
+    place = F.array_position("scores", F.array_max("scores"))
+    return scored.withColumn("predicted", F.get(F.col("classes.label"), (place - 1).cast("int"))).drop("classes")
+
+
 def one_vs_rest(
     train: DataFrame, labels: Sequence[int], label: str = "label", trees: int = 20, seed: int = 41
 ) -> dict[int, object]:
