@@ -110,33 +110,68 @@ def term_checks(
     ]
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check], by: str = "term") -> DataFrame:
-    """Report (by, check, observed, distinct_values, required, ok) for every group."""
-    columns = sorted({c.column for c in checks})
+def checked_values(df: DataFrame, checks: Sequence[Check], by: str = "term") -> DataFrame:
+    """(by, column, d1, d2, n_bits, g_bits): the distinct values of every group and checked column,
+    known by digests, with the checks that count them and those that they pass.
+
+    Each rule runs once per distinct value. Columns that are only counted go into the shuffle as
+    digests, those with rules as texts. The values of a group do not depend on other groups, so a
+    stored table of them is kept up to date by replacing the groups that changed, and rows that
+    came to a group by adding theirs (`merge_values`).
+    """
+    columns = sorted({c.column for c in checks if c.column in df.columns})
     cells = []
     for k, name in enumerate(columns):
-        if name not in df.columns:
-            continue
         value = F.col(name).cast("string")
-        n_bits, g_bits = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
-        for i, c in enumerate(checks):
-            if c.column == name:
-                mine = F.coalesce(value.isNotNull() & c.considered(value), F.lit(False))
-                good = F.coalesce(mine & c.good(value), F.lit(False))
-                n_bits = n_bits + F.when(mine, F.lit(1 << i)).otherwise(F.lit(0))
-                g_bits = g_bits + F.when(good, F.lit(1 << i)).otherwise(F.lit(0))
-        digest = (F.xxhash64(value), F.xxhash64(F.lit(1), value))
+        counted = all(c.kind == "unique" and not c.exceptions for c in checks if c.column == name)
+        digest = (F.xxhash64(value), F.xxhash64(F.lit(1), value)) if counted else (F.lit(0), F.lit(0))
         cells.append(
             F.struct(
-                F.lit(k).alias("column"), digest[0].alias("d1"), digest[1].alias("d2"),
-                n_bits.alias("n_bits"), g_bits.alias("g_bits"),
-            )
+                F.lit(k).alias("column"),
+                (F.lit(None).cast("string") if counted else value).alias("value"),
+                digest[0].cast("bigint").alias("d1"),
+                digest[1].cast("bigint").alias("d2"),
+                value.isNotNull().alias("some"),
+            )
         )
     if not cells:
-        cells = [F.struct(*[F.lit(0).cast("bigint").alias(c) for c in ("column", "d1", "d2", "n_bits", "g_bits")])]
-    # a value is known by its digest and what the checks say of it: texts stay out of the shuffles
+        no = F.lit(0).cast("bigint")
+        cells = [F.struct(F.lit(-1).alias("column"), F.lit(None).cast("string").alias("value"), no.alias("d1"), no.alias("d2"), F.lit(False).alias("some"))]
+    # a null is one value that no check counts, so a group of nothing else is there too
     values = df.select(by, F.inline(F.array(*cells))).distinct()
+    value, bits = F.col("value"), {"n_bits": F.lit(0).cast("bigint"), "g_bits": F.lit(0).cast("bigint")}
+    for k, name in enumerate(columns):
+        own = {"n_bits": F.lit(0).cast("bigint"), "g_bits": F.lit(0).cast("bigint")}
+        for i, c in enumerate(checks):
+            if c.column == name:
+                # a value that is only counted is not there as a text
+                mine = F.col("some") & F.coalesce(value.isNull() | c.considered(value), F.lit(False))
+                good = F.coalesce(mine & (value.isNull() | c.good(value)), F.lit(False))
+                own["n_bits"] += F.when(mine, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0))
+                own["g_bits"] += F.when(good, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0))
+        bits = {n: F.when(F.col("column") == k, own[n]).otherwise(bits[n]) for n in bits}
+    digests = {
+        "d1": F.when(value.isNull(), F.col("d1")).otherwise(F.xxhash64(value)),
+        "d2": F.when(value.isNull(), F.col("d2")).otherwise(F.xxhash64(F.lit(1), value)),
+    }
+    return values.select(by, "column", *[x.alias(n) for n, x in (digests | bits).items()])
+
+
+def merge_values(*parts: DataFrame) -> DataFrame:
+    """The checked values of tables whose rows belong together, from those of each."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.distinct()
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check], by: str = "term") -> DataFrame:
+    """Report (by, check, observed, distinct_values, required, ok) for every group."""
+    return report_values(checked_values(df, checks, by), checks, by)
+
 
+def report_values(values: DataFrame, checks: Sequence[Check], by: str = "term") -> DataFrame:
+    """The report of `checked_values`, or of several of them merged."""
     aggs = []
     for i in range(len(checks)):
         bit = F.lit(1 << i).cast("bigint")
