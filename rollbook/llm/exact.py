@@ -20,8 +20,13 @@ BLOCK_BYTES = 4096
 
 
 def _named(distinct: DataFrame, label: str) -> DataFrame:
-    """Distinct rows with the integer `name`, increasing in sorted order, in a stored table."""
-    in_order = distinct.orderBy(*distinct.columns)
+    """Distinct rows with the integer `name`, increasing in sorted order, in a stored table.
+
+    The order is that of a hash and then of the rows, so the range partitioner samples hashes and
+    not whole blocks.
+    """
+    ranged = distinct.withColumn("__h", F.xxhash64(*distinct.columns)).repartitionByRange("__h")
+    in_order = ranged.sortWithinPartitions("__h", *distinct.columns).drop("__h")
     return stored(in_order.withColumn("name", F.monotonically_increasing_id()), label)
 
 
