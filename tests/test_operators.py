@@ -14,11 +14,11 @@ RNG = random.Random(11)
 
 
 def _names(n):
-    first = "Maria Mariah Anna Hannah John Jon Zhi Li Begoña Begona José Hee-Jin Heejin".split()
-    last = "Smith Smyth Capeáns Capeans Pereira Perera Ying Kim Mac Adam MacAdam Negron-Muntaner".split()
+    first = "Tolva Tolvah Enni Hennie Orb Oreb Ku Mei Ruñela Runela Iré Ba-Lin Balin".split()
+    last = "Vask Vasck Tordáns Tordans Quellira Quelira Dorn Pim Oc Reth OcReth Sabor-Tunel".split()
     out = set()
     while len(out) < n:
-        f, m, s = RNG.choice(first), RNG.choice(["", "V ", "Li "]), RNG.choice(last)
+        f, m, s = RNG.choice(first), RNG.choice(["", "V ", "Ku "]), RNG.choice(last)
         name = f"{f} {m}{s}" if RNG.random() < 0.6 else f"{s}, {f} {m}".strip()
         if RNG.random() < 0.3:
             i = RNG.randrange(len(name))
