@@ -58,38 +58,32 @@ class _Stock:
         return [(int(x), int(y)) for x, y in zip(a[ok], b[ok])]
 
 
-def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of one sequence, number of such sequences); uses every piece once.
-
-    Lengths of zero take no room and must not be among the counts.
-    """
-    stock = _Stock(counts, capacity)
-    if stock.left[capacity]:
-        stock.use((capacity,))
-    for most in (1, 2, 3):  # pieces beside the longest one of a sequence
-        for length in map(int, stock.present(capacity - 1)):
-            gap = capacity - length
+def _complements(stock: _Stock, length: int, capacity: int, most: int) -> None:
+    """Fill sequences that begin with `length` by exactly `most` pieces, while there are any."""
+    gap = capacity - length
+    if most == 1:
+        if gap <= length:
+            stock.use((length, gap))
+    elif most == 2:
+        for pair in stock.pairs(gap):
+            stock.use((length, *pair))
+            if not stock.left[length]:
+                break
+    else:
+        for first in map(int, stock.present(gap - 2)):
             if not stock.left[length]:
+                break
+            if not stock.left[first]:
                 continue
-            if most == 1:
-                if gap <= length:
-                    stock.use((length, gap))
-            elif most == 2:
-                for pair in stock.pairs(gap):
-                    stock.use((length, *pair))
-                    if not stock.left[length]:
-                        break
-            else:
-                for first in map(int, stock.present(gap - 2)):
-                    if not stock.left[length]:
-                        break
-                    if not stock.left[first]:
-                        continue
-                    for pair in stock.pairs(gap - first):
-                        stock.use((length, first, *pair))
-                        if not (stock.left[length] and stock.left[first]):
-                            break
-    while len(rest := stock.present(capacity)):  # best fit: the longest that still fits
+            for pair in stock.pairs(gap - first):
+                stock.use((length, first, *pair))
+                if not (stock.left[length] and stock.left[first]):
+                    break
+
+
+def _best_fit(stock: _Stock, capacity: int, only: int | None = None) -> None:
+    """Fill sequences with the longest piece that still fits; with `only`, those it begins."""
+    while len(rest := stock.present(capacity)) and (only is None or stock.left[only]):
         lengths, gap = [], capacity
         while gap and len(rest):
             x = int(rest[0])
@@ -101,7 +95,50 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
             gap -= x
             rest = rest[rest <= gap]
         stock.use(tuple(lengths))
-    return stock.patterns
+
+
+def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths of one sequence, number of such sequences); uses every piece once.
+
+    Exact complements are looked up in two orders: round by round (all single complements, then
+    pairs, then triples), and length by length, where a length without complements is packed
+    best-fit before shorter ones may spend the pieces that it needs.  Best fit alone is the third
+    candidate, so the plan is never worse than that; the one with the fewest sequences is taken.
+    Lengths of zero take no room and must not be among the counts.
+    """
+
+    def full() -> _Stock:
+        stock = _Stock(counts, capacity)
+        if stock.left[capacity]:
+            stock.use((capacity,))
+        return stock
+
+    def rounds(stock: _Stock) -> None:
+        for most in (1, 2, 3):  # pieces beside the longest one of a sequence
+            for length in map(int, stock.present(capacity - 1)):
+                if stock.left[length]:
+                    _complements(stock, length, capacity, most)
+
+    def longest_first(stock: _Stock) -> None:
+        for length in map(int, stock.present(capacity - 1)):
+            for most in (1, 2, 3):
+                if stock.left[length]:
+                    _complements(stock, length, capacity, most)
+            if stock.left[length]:
+                _best_fit(stock, capacity, length)
+
+    least = -(-sum(x * n for x, n in counts.items()) // capacity)
+    best, fewest = [], None
+    for exact in (longest_first, rounds, lambda stock: None):
+        stock = full()
+        exact(stock)
+        _best_fit(stock, capacity)
+        used = sum(times for _, times in stock.patterns)
+        if fewest is None or used < fewest:
+            best, fewest = stock.patterns, used
+        if fewest == least:
+            break
+    return best
 
 
 def _ranges(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
@@ -173,18 +210,23 @@ def _tokenizer(raw: bytes) -> tiktoken.Encoding:
     """The byte-level BPE of a tokenizers file, run by tiktoken, which is several times faster.
 
     Both give the same ids where a merge's rank is the id of what it makes, which is checked.
+    An added token is its own id wherever its literal stands in a text, as the library reads it; the
+    text before and after it is encoded by itself.
     """
     import public_tokenizers as public
 
     model = json.loads(raw)["model"]
-    special = {t["content"] for t in json.loads(raw)["added_tokens"]}
+    added = json.loads(raw)["added_tokens"]
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+        raise ValueError("added tokens that take spaces along or need word borders are not supported")
+    special = {t["content"]: t["id"] for t in added}
     letters, vocab = _byte_letters(), model["vocab"]
     ids = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
     if ids != list(range(256, 256 + len(ids))):
         raise ValueError("ids do not follow the order of merges")
     ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
     return tiktoken.Encoding(
-        "file", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "file", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
 
 
@@ -217,7 +259,7 @@ def tokenize(
         for batch in batches:
             rows: list[tuple] = []
             for k, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.append(encode(text or "", disallowed_special=()), end_id).astype("<u4")
+                ids = np.append(encode(text or "", allowed_special="all"), end_id).astype("<u4")
                 for piece, (start, n) in enumerate(cut(len(ids), capacity)):
                     rows.append((k, seen[n], piece, start, n, ids[start : start + n].tobytes()))
                     seen[n] += 1

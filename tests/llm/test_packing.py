@@ -19,7 +19,6 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(FILE)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids + [2]
 
 
@@ -51,6 +50,29 @@ def test_plan():
         assert packing.plan(dict(Counter(lengths)), 1024) == [(lengths, 1)]
 
 
+def best_fit_decreasing(lengths, capacity):
+    """Number of sequences when each piece, the longest first, goes where the least room is left."""
+    room = [0] * (capacity + 1)
+    used = 0
+    for x in sorted(lengths, reverse=True):
+        gap = next((g for g in range(x, capacity + 1) if room[g]), None)
+        if gap is None:
+            used, gap = used + 1, capacity
+        else:
+            room[gap] -= 1
+        room[gap - x] += 1
+    return used
+
+
+def test_no_worse_than_best_fit():
+    rnd = random.Random(5)
+    for scale in (80, 250, 700):
+        for n in (50, 400, 3000):
+            lengths = [1 + min(1023, int(rnd.expovariate(1 / scale))) for _ in range(n)]
+            used, _ = check_plan(dict(Counter(lengths)), 1024)
+            assert used <= best_fit_decreasing(lengths, 1024)
+
+
 def whole(rows, capacity):
     """Sequences are gapless from 0 and not over capacity."""
     places = defaultdict(list)
@@ -81,12 +103,14 @@ def test_query(spark, library):
         for r in got:
             part = np.array(ids[r.start : r.start + r.length], "<u4").tobytes()
             assert r.ids_crc32 == zlib.crc32(part)
-    assert whole(rows, 1024) <= -(-total // 1024) * 1.02 + 1
+    used = whole(rows, 1024)
+    assert used <= -(-total // 1024) * 1.02 + 1
+    assert used <= best_fit_decreasing([r.length for r in rows], 1024)
 
 
 def test_edge_rows(spark, library):
     schema = "doc_id long, text string, length string, part int"
-    texts = [None, "", "a b c " * 40, "a b c " * 40, "x\u0085y\x1cz　\xa0​ \t\n  <|endoftext|>", "漢😀" * 9]
+    texts = [None, "", "a b c " * 40, "a b c " * 40, "<|endoftext|>a <|endoftext|><|endoftext|> b <|endoftext", "x\u0085y\x1cz　\xa0​ \t\n  <|endoftext|>", "漢😀" * 9]
     odd = spark.createDataFrame([(i or None, t, "l", 7) for i, t in enumerate(texts)], schema)
     rows = packing.pack_documents(odd, FILE, capacity=16).collect()
     assert whole(rows, 16)
