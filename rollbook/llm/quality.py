@@ -3,7 +3,8 @@
 Each (language, source) group gets its own fences: a quantile sketch per group and metric, merged
 from partial sketches before the shuffle, gives quartiles, and a document is rejected beyond
 median +- width * max(distance to a quartile, least spread).  The fences are joined back and filter.
-Sketches of small groups are merged up to their language and to everything.
+A group's quartiles are blended with those of its language, and these with those of everything, by
+the number of documents behind them, so a small group leans on its parent and no size is a switch.
 Only built-in functions run.
 """
 
@@ -35,11 +36,11 @@ class Fence:
 FENCES = (
     Fence("word_length", 0.5, low=True),
     Fence("symbols_per_word", 0.04),
-    Fence("dup_line_share", 0.12),
-    Fence("repeat_share", 0.12),
+    Fence("dup_line_share", 0.08),
+    Fence("repeat_share", 0.07),  # times WIDTH it lies below the half at which base_failed begins
 )
 WIDTH = 6.0
-LEAST_DOCS = 200  # a smaller group takes the fences of the level above
+PRIOR_DOCS = 20  # the level above weighs as much as this many documents of a group
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 1000  # of a sketch: rank error at most 1 / ACCURACY
 
@@ -125,13 +126,15 @@ def _metrics() -> dict[str, Column]:
     }
 
 
-def thresholds(counted: DataFrame, by=("lang", "source"), fences=FENCES, width=WIDTH) -> DataFrame:
+def thresholds(
+    counted: DataFrame, by=("lang", "source"), fences=FENCES, width=WIDTH, prior=PRIOR_DOCS
+) -> DataFrame:
     """Per group of `by`: low_<metric> and high_<metric>, from the documents that pass the base rules.
 
     The sketches of a group, of all groups with the same first columns of `by`, and of everything
-    come out of one rollup; a group takes the narrowest of them that holds LEAST_DOCS documents,
-    the last one if none does.  A side's reach is measured on the other side of the median, which
-    what it rejects does not widen.
+    come out of one rollup.  Each quartile of n documents is blended with the blended one of the
+    level above: (n * own + prior * above) / (n + prior).  A side's reach is measured on the other
+    side of the median, which what it rejects does not widen.
     """
     metrics = _metrics()
     sketches = [
@@ -142,18 +145,26 @@ def thresholds(counted: DataFrame, by=("lang", "source"), fences=FENCES, width=W
     keys = [f"__g{c}" for c in by]
     levels = marked.rollup(*keys).agg(F.count("*").alias("__n"), *sketches)
     levels = stored(levels, "fences")
-    enough = F.col("__n") >= LEAST_DOCS
-    deep = levels.where(F.col(keys[-1]).isNotNull())
-    out = deep.select(*keys, F.when(enough, F.struct(*metrics)).alias("__q"))
-    for k in range(len(by) - 1, -1, -1):
-        wider = levels.where(F.col(keys[k]).isNull())
+    weight = F.col("__n") / (F.col("__n") + prior)
+    out = None
+    for k in range(len(by) + 1):
+        level = levels.where(F.col(keys[k]).isNull()) if k < len(by) else levels
         if k:
-            wider = wider.where(F.col(keys[k - 1]).isNotNull())
-        usable = F.when(enough, F.struct(*metrics)) if k else F.struct(*metrics)
-        wider = wider.select(*keys[:k], usable.alias("__wider"))
+            level = level.where(F.col(keys[k - 1]).isNotNull())
+        level = level.select(*keys[:k], weight.alias("__w"), F.struct(*metrics).alias("__own"))
+        if out is None:
+            out = level.withColumnRenamed("__own", "__q").drop("__w")
+            continue
         # the overall level is one row
-        out = out.join(wider, keys[:k]) if k else out.crossJoin(F.broadcast(wider))
-        out = out.select(*keys, F.coalesce("__q", "__wider").alias("__q"))
+        level = level.join(out, keys[: k - 1]) if k > 1 else level.crossJoin(F.broadcast(out))
+        blended = [
+            F.transform(
+                F.arrays_zip(F.col(f"__own.{m}").alias("own"), F.col(f"__q.{m}").alias("above")),
+                lambda x: F.col("__w") * x["own"] + (1 - F.col("__w")) * x["above"],
+            ).alias(m)
+            for m in metrics
+        ]
+        out = level.select(*keys[:k], F.struct(*blended).alias("__q"))
     limits = []
     for f in fences:
         q = F.col(f"__q.{f.metric}")

@@ -1,5 +1,6 @@
 """Counts against a plain definition; planted junk goes, clean documents stay."""
 
+import math
 import re
 from collections import Counter
 
@@ -43,6 +44,96 @@ def test_query(spark):
     assert not any(kept for kept, q in judged if q == 0)
 
 
+def plain_limits(rows):
+    """Group -> metric -> (low, high): exact quartiles blended by weight, no sketches."""
+    values = {"": []}
+    for r in rows:
+        if r.base_failed:
+            continue
+        n = r.n_words
+        v = (r.word_chars / n, r.n_symbols / n, r.n_dup_lines / r.n_lines, r.n_repeat_words / n)
+        for key in ("", (r.lang,), (r.lang, r.source)):
+            values.setdefault(key, []).append(v)
+    blended = {}
+    for key in sorted(values, key=len):
+        cols = [sorted(c) for c in zip(*values[key])]
+        n = len(values[key])
+        own = [[c[math.ceil(p * n) - 1] for p in (0.25, 0.5, 0.75)] for c in cols]
+        if key:
+            above = blended[key[:-1] or ""]
+            own = [[(n * a + 20 * b) / (n + 20) for a, b in zip(x, y)] for x, y in zip(own, above)]
+        blended[key] = own
+    out = {}
+    for key, cols in blended.items():
+        out[key] = [
+            (q[1] - 6 * max(q[2] - q[1], s) if low else -1, q[1] + 6 * max(q[1] - q[0], s))
+            for q, s, low in zip(cols, (0.5, 0.04, 0.08, 0.07), (True, False, False, False))
+        ]
+    return out
+
+
+def check_verdicts(rows):
+    limits = plain_limits(rows)
+    for r in rows:
+        if r.base_failed:
+            assert not r.kept
+            continue
+        n = r.n_words
+        v = (r.word_chars / n, r.n_symbols / n, r.n_dup_lines / r.n_lines, r.n_repeat_words / n)
+        inside = [low <= x <= high for x, (low, high) in zip(v, limits[r.lang, r.source])]
+        near = any(abs(x - y) < 1e-9 for x, lh in zip(v, limits[r.lang, r.source]) for y in lh)
+        assert near or r.kept == all(inside)
+
+
+def test_verdicts_follow_plain_thresholds(spark):
+    check_verdicts(op7_quality_rules(spark, SF).collect())
+
+
+def test_each_fence_rejects_by_itself(spark):
+    def prose(i, n=100):
+        return [f"w{i}a{j}" for j in range(n)]
+
+    lines = lambda w: "\n".join(" ".join(w[k : k + 5]) for k in range(0, len(w), 5))
+    rows = [(i, lines(prose(i)), "en", "s") for i in range(300)]
+    odd = {
+        1000: " ".join(f"wwwwwwwwwwwwww{j}" for j in range(100)),
+        1001: " ".join("ab" if j % 2 else chr(97 + j % 25) + chr(97 + j // 25) for j in range(100)),
+        1002: lines([f"{w}#" if j % 3 == 0 else w for j, w in enumerate(prose(7))]),
+        1003: "\n".join(["same"] + [x for j in range(60) for x in (f"only{j}a{j}", "same")]),
+        1004: " ".join(prose(3) + [w for j in range(38) for w in ("x1xxx", "y2yyy", "z3zzz", f"kkk{j}")]),
+    }
+    docs = spark.createDataFrame(
+        rows + [(k, t, "en", "s") for k, t in odd.items()], "doc_id long, text string, lang string, source string"
+    )
+    got = quality.judge(quality.with_counts(docs)).collect()
+    check_verdicts(got)
+    limits, out = plain_limits(got)["en", "s"], {}
+    for r in got:
+        if r.doc_id >= 1000 and not r.base_failed:
+            n = r.n_words
+            v = (r.word_chars / n, r.n_symbols / n, r.n_dup_lines / r.n_lines, r.n_repeat_words / n)
+            out[r.doc_id] = {k for k, (x, (low, high)) in enumerate(zip(v, limits)) if not low <= x <= high}
+    assert {frozenset(x) for x in out.values()} >= {frozenset({k}) for k in range(4)}
+    assert {r.doc_id for r in got if not r.kept} == set(out)
+
+
+def test_no_size_is_a_switch(spark):
+    """One more document moves the limits of a group a little, at any size."""
+    schema = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, lang string, source string"
+    row = lambda i, s: (100, 400 + 7 * i % 300, i % 9, i % 5, i % 30, 10, "en", s)
+    others = [row(3 * i, "t") for i in range(500)]
+
+    def high(n):
+        counted = spark.createDataFrame(others + [row(i, "s") for i in range(n)], schema)
+        return quality.thresholds(counted).where("source = 's'").first()
+
+    for n in (4, 199):
+        a, b = high(n), high(n + 1)
+        for f in quality.FENCES:
+            x, y = a[f"high_{f.metric}"], b[f"high_{f.metric}"]
+            assert abs(x - y) <= 0.12 * max(x, y)
+
+
 def test_edge_rows(spark):
     long = " ".join(f"w{i % 977}x{i % 13}" for i in range(60_000))
     texts = [None, "", " \t\n", "a b c", "a b c a b c", "a a a a a", "x\n\nx\n y\nx", "é ü a\rb", long,
