@@ -40,7 +40,7 @@ FENCES = (
     Fence("repeat_share", 0.07),  # times WIDTH it lies below the half at which base_failed begins
 )
 WIDTH = 6.0
-PRIOR_DOCS = 20  # the level above weighs as much as this many documents of a group
+PRIOR_DOCS = 20  # at this many documents a group and the level above weigh the same
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 1000  # of a sketch: rank error at most 1 / ACCURACY
 
@@ -133,8 +133,9 @@ def thresholds(
 
     The sketches of a group, of all groups with the same first columns of `by`, and of everything
     come out of one rollup.  Each quartile of n documents is blended with the blended one of the
-    level above: (n * own + prior * above) / (n + prior).  A side's reach is measured on the other
-    side of the median, which what it rejects does not widen.
+    level above: w * own + (1 - w) * above with w = n^2 / (n^2 + prior^2).  The square lets go of the
+    level above soon, since a source may differ much from its language.  A side's reach is measured
+    on the other side of the median, which what it rejects does not widen.
     """
     metrics = _metrics()
     sketches = [
@@ -145,7 +146,8 @@ def thresholds(
     keys = [f"__g{c}" for c in by]
     levels = marked.rollup(*keys).agg(F.count("*").alias("__n"), *sketches)
     levels = stored(levels, "fences")
-    weight = F.col("__n") / (F.col("__n") + prior)
+    squared = F.col("__n").cast("double") * F.col("__n")
+    weight = squared / (squared + prior**2)
     out = None
     for k in range(len(by) + 1):
         level = levels.where(F.col(keys[k]).isNull()) if k < len(by) else levels

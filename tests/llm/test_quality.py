@@ -61,7 +61,7 @@ def plain_limits(rows):
         own = [[c[math.ceil(p * n) - 1] for p in (0.25, 0.5, 0.75)] for c in cols]
         if key:
             above = blended[key[:-1] or ""]
-            own = [[(n * a + 20 * b) / (n + 20) for a, b in zip(x, y)] for x, y in zip(own, above)]
+            own = [[(n * n * a + 400 * b) / (n * n + 400) for a, b in zip(x, y)] for x, y in zip(own, above)]
         blended[key] = own
     out = {}
     for key, cols in blended.items():
