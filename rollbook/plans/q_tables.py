@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from rollbook.functions import names as N
 from rollbook.functions import terms, text
 from rollbook.operators import columns, extract, filters, fuzzy, joins, merge, sampling
+from rollbook.operators.stored import StoredTerms
 from rollbook.plans import views as V
 from rollbook.plans.registry import query
+from rollbook.sources.scratch import scratch_dir, stored
 
 BASIC = ("term", "course_code", "course_title", "call_number", "instructor", "department_code")
 BASIC_SQL = ", ".join(BASIC)
@@ -445,6 +447,19 @@ def join_class_index(spark, d):
     return joins.class_index(people, _class(spark, d, "instructor", "term", "course_code", "call_number"))
 
 
+_MERGED = ("term", "department_code", "course_code", "call_number")
+
+
+def _second_crawl(spark, d):
+    """The second crawl with one date per class."""
+    even = F.col("line") % 2 == 0
+    date = F.when(even, F.col("seen_on")).otherwise(F.date_add("seen_on", 7)).cast("string")
+    seats = F.when(even, F.col("seats") + 1).otherwise(F.col("seats")).cast("string")
+    return V.v_new(spark, d).select(
+        *_MERGED, F.create_map(date, F.concat(seats, F.lit("/50"))).alias("enrollment")
+    )
+
+
 @query(
     "merge_term",
     V.ctes(V.V_CLASS, V.V_NEW, V.V_ENROLLMENT_OLD)
@@ -467,19 +482,42 @@ def join_class_index(spark, d):
 )
 def merge_term(spark, d):
     """The whole merge: keep-old, history overlay, cut-off after the term."""
-    cols = ("term", "department_code", "course_code", "call_number")
-    even = F.col("line") % 2 == 0
-    date = F.when(even, F.col("seen_on")).otherwise(F.date_add("seen_on", 7)).cast("string")
-    seats = F.when(even, F.col("seats") + 1).otherwise(F.col("seats")).cast("string")
-    new = V.v_new(spark, d).select(
-        *cols, F.create_map(date, F.concat(seats, F.lit("/50"))).alias("enrollment")
-    )
-    merged = merge.merge_term(new, _class(spark, d, *cols), V.v_enrollment_old(spark, d))
+    new = _second_crawl(spark, d)
+    merged = merge.merge_term(new, _class(spark, d, *_MERGED), V.v_enrollment_old(spark, d))
     return merged.enrollment.select(
         "term", "call_number", "course_code", F.explode("enrollment").alias("date", "seen")
     )
 
 
+@query(
+    "merge_stored_terms",
+    V.ctes(V.V_CLASS, V.V_NEW)
+    + """, o AS (SELECT term, call_number, course_code, CAST(seen_on AS VARCHAR) AS date, max(seats) AS n FROM v_class GROUP BY ALL),
+    n AS (SELECT term, call_number, course_code, CAST(CASE WHEN line % 2 = 0 THEN seen_on ELSE seen_on + 7 END AS VARCHAR) AS date,
+        max(CASE WHEN line % 2 = 0 THEN seats + 1 ELSE seats END) AS n FROM v_new GROUP BY ALL),
+    gone AS (SELECT term, call_number, course_code FROM v_class WHERE (term, department_code) NOT IN (SELECT (term, department_code) FROM v_new)),
+    h AS (SELECT * FROM o WHERE (term, call_number, course_code) IN (SELECT (term, call_number, course_code) FROM n UNION ALL SELECT (term, call_number, course_code) FROM gone)
+      UNION ALL SELECT * FROM n WHERE (term, call_number, course_code, date) NOT IN (SELECT (term, call_number, course_code, date) FROM o)),
+    ends AS (SELECT *, CAST(date AS DATE) <= CAST(split_part(term, '-', 1) || CASE split_part(term, '-', 2) WHEN 'Spring' THEN '-05-20'
+        WHEN 'Summer' THEN '-08-20' ELSE '-12-26' END AS DATE) AS inside FROM h),
+    flag AS (SELECT *, min(date) OVER w AS low, bool_or(inside) OVER w AS any_in FROM ends WINDOW w AS (PARTITION BY term, call_number, course_code))
+    SELECT term, call_number, course_code, date, n || '/50' AS seen FROM flag WHERE inside OR (NOT any_in AND date = low)""",
+)
+def merge_stored_terms(spark, d):
+    """The merge over bucketed tables, histories by class: the first crawl is stored and the second
+    merged into it twice, with nothing of the stored histories shuffled."""
+    day = F.create_map(F.col("seen_on").cast("string"), F.concat(F.col("seats").cast("string"), F.lit("/50")))
+    first = V.v_class(spark, d).select(*_MERGED, day.alias("enrollment"))
+    second = stored(_second_crawl(spark, d), "crawl")
+    kept = StoredTerms(spark, scratch_dir(spark, "terms"), first.schema)
+    known = kept.classes.terms(first)
+    kept.classes.replace_terms(first, known)
+    kept.enrollment.replace_terms(first, known)  # dates after the end of a term are still there
+    for _ in range(2):
+        kept.merge(second)
+    return kept.histories()
+
+
 # ---- aggregations ------------------------------------------------------------------
 
 
