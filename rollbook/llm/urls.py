@@ -31,10 +31,11 @@ def host_path(url: Column) -> tuple[Column, Column]:
 def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
     """The longest rule (``host/path``) that fits the host or a domain above it and begins the path.
 
-    Rules are a short list given as a parameter; equal lengths cannot both fit.
+    Rules are a short list given as a parameter.  Two of one length can both fit (``a.b/`` and
+    ``b/cc`` fit ``a.b/cc``): the least by code points is taken, however the rules are ordered.
     """
     out = F.lit(None).cast("string")
-    for rule in sorted(rules, key=len):
+    for rule in sorted(sorted(rules, reverse=True), key=len):
         domain, _, begin = rule.partition("/")
         fits = (host == domain) | host.endswith(f".{domain}")
         out = F.when(fits & path.startswith(f"/{begin}"), F.lit(rule)).otherwise(out)

@@ -73,3 +73,12 @@ def test_held_out_accuracy(spark):
     test = urls.with_parts(df.subtract(df.limit(800)).withColumnRenamed("blocked", "truth"))
     got = model.blocked(test).agg(F.avg((F.col("blocked").cast("int") == F.col("truth")).cast("int")))
     assert got.first()[0] > 0.95
+
+
+def test_rules_of_one_length(spark):
+    """Both fit; the least is taken in whatever order the rules come."""
+    rows = spark.createDataFrame([("a.b", "/cc")], "host string, path string")
+    rules = {"a.b/": "block", "b/cc": "allow"}
+    for given in (rules, dict(reversed(rules.items()))):
+        got = rows.select(urls.rule_of(F.col("host"), F.col("path"), given).alias("rule")).first()
+        assert got.rule == "a.b/"
