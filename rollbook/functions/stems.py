@@ -1,4 +1,9 @@
-"""Porter (1980) suffix stripping, applied to distinct words through an Arrow UDF."""
+"""Porter (1980) suffix stripping as a column expression, as SQL text and as a plain function.
+
+A stem's measure is the number of its vowel-consonant changes.  The algorithm only asks whether it
+is at least one or at least two, which a regular expression reads from the front of the stem: runs
+of consonants and vowels have one reading, since `y` is a vowel after a consonant only.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollbook.functions.higher import let
+
 # Suffix tables of the published algorithm (suffix, replacement).
 STEP2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
@@ -111,6 +118,151 @@ def porter_stem(word: str) -> str:
     return w
 
 
+# Runs of letters: a vowel run starts with a vowel or with a y after a consonant.
+_CONSONANTS, _VOWELS = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+_TO_VOWEL = f"^(?:{_CONSONANTS}{_VOWELS}|[aeiou]+)"
+ONE_CHANGE = f"{_TO_VOWEL}[^aeiou]"
+TWO_CHANGES = f"{_TO_VOWEL}{_CONSONANTS}{_VOWELS}[^aeiou]"
+HAS_VOWEL = f"^(?:[aeiou]|{_CONSONANTS}[aeiouy])"
+# consonant, vowel, consonant of a word with one change
+ONE_CVC = f"^{_CONSONANTS}[aeiouy][^aeiouwxy]$"
+# a doubled y is a consonant by the parity of its run
+DOUBLE_Y = "(?:(?:^|[aeiou])y|[^aeiouy])(?:yy)+$"
+
+
+def _cut(word: Column, n: int) -> Column:
+    return F.left(word, F.length(word) - n)
+
+
+def _doubled(word: Column, but: str = "") -> Column:
+    """Ends with a doubled consonant that is none of `but`."""
+    last = F.right(word, F.lit(1))
+    same = (F.length(word) > 1) & (last == F.substring(word, -2, 1))
+    return same & (word.rlike(f"[^aeiouy{but}]$") | word.rlike(DOUBLE_Y))
+
+
+def _longest(word: Column, suffixes, then) -> Column:
+    """`then(suffix)` of the longest suffix of the word, else the word."""
+    out = None
+    for suffix in sorted(suffixes, key=len, reverse=True):
+        ends = word.endswith(suffix)
+        out = F.when(ends, then(suffix)) if out is None else out.when(ends, then(suffix))
+    return out.otherwise(word)
+
+
+def _plural(w: Column) -> Column:
+    one = w.endswith("s") & ~w.endswith("ss")
+    return F.when(w.endswith("sses") | w.endswith("ies"), _cut(w, 2)).when(one, _cut(w, 1)).otherwise(w)
+
+
+def _past(w: Column) -> Column:
+    def mended(t: Column) -> Column:
+        short = t.rlike(ONE_CVC)
+        add = t.endswith("at") | t.endswith("bl") | t.endswith("iz")
+        drop = _doubled(t, "lsz")
+        return F.when(add, F.concat(t, F.lit("e"))).when(drop, _cut(t, 1)).when(short, F.concat(t, F.lit("e"))).otherwise(t)
+
+    return (
+        F.when(w.endswith("eed"), F.when(_cut(w, 3).rlike(ONE_CHANGE), _cut(w, 1)).otherwise(w))
+        .when(w.endswith("ed") & _cut(w, 2).rlike(HAS_VOWEL), let(_cut(w, 2), mended))
+        .when(w.endswith("ing") & _cut(w, 3).rlike(HAS_VOWEL), let(_cut(w, 3), mended))
+        .otherwise(w)
+    )
+
+
+def _final_y(w: Column) -> Column:
+    return F.when(w.endswith("y") & _cut(w, 1).rlike(HAS_VOWEL), F.concat(_cut(w, 1), F.lit("i"))).otherwise(w)
+
+
+def _swapped(table: tuple[tuple[str, str], ...]):
+    def step(w: Column) -> Column:
+        def then(suffix: str) -> Column:
+            stem = _cut(w, len(suffix))
+            return F.when(stem.rlike(ONE_CHANGE), F.concat(stem, F.lit(dict(table)[suffix]))).otherwise(w)
+
+        return _longest(w, dict(table), then)
+
+    return step
+
+
+def _stripped(w: Column) -> Column:
+    def then(suffix: str) -> Column:
+        stem = _cut(w, len(suffix))
+        fits = stem.rlike(TWO_CHANGES)
+        if suffix == "ion":
+            fits &= stem.endswith("s") | stem.endswith("t")
+        return F.when(fits, stem).otherwise(w)
+
+    return _longest(w, STEP4, then)
+
+
+def _final_e(w: Column) -> Column:
+    stem = _cut(w, 1)
+    drop = stem.rlike(TWO_CHANGES) | (stem.rlike(ONE_CHANGE) & ~stem.rlike(ONE_CVC))
+    return F.when(w.endswith("e") & drop, stem).otherwise(w)
+
+
+def _final_ll(w: Column) -> Column:
+    return F.when(w.endswith("ll") & w.rlike(TWO_CHANGES), _cut(w, 1)).otherwise(w)
+
+
+STEPS = (_plural, _past, _final_y, _swapped(STEP2), _swapped(STEP3), _stripped, _final_e, _final_ll)
+
+
+def stem_word(word: Column) -> Column:
+    """Stem of a word, as `porter_stem`; a null word has none."""
+
+    def after(w: Column, steps) -> Column:
+        return let(steps[0](w), lambda v: after(v, steps[1:])) if steps else w
+
+    lower = F.lower(word)
+    return F.when(F.length(lower) <= 2, lower).otherwise(let(lower, lambda w: after(w, STEPS)))
+
+
+def stem_sql(words: str) -> str:
+    """CTEs (for DuckDB) over a CTE `words` (word); the last one, `stems`, has (word, stem)."""
+
+    def cut(n: int) -> str:
+        return f"left(w, length(w) - {n})"
+
+    def has(text: str, pattern: str) -> str:
+        return f"regexp_matches({text}, '{pattern}')"
+
+    def longest(suffixes, then) -> str:
+        ordered = sorted(suffixes, key=len, reverse=True)
+        return "CASE " + " ".join(f"WHEN suffix(w, '{s}') THEN {then(s)}" for s in ordered) + " ELSE w END"
+
+    def swap(table) -> str:
+        return longest(dict(table), lambda s: f"CASE WHEN {has(cut(len(s)), ONE_CHANGE)} THEN {cut(len(s))} || '{dict(table)[s]}' ELSE w END")
+
+    def strip(s: str) -> str:
+        more = f" AND regexp_matches({cut(3)}, '[st]$')" if s == "ion" else ""
+        return f"CASE WHEN {has(cut(len(s)), TWO_CHANGES)}{more} THEN {cut(len(s))} ELSE w END"
+
+    double = f"(right(w, 1) = left(right(w, 2), 1) AND length(w) > 1 AND ({has('w', '[^aeiouylsz]$')} OR {has('w', DOUBLE_Y)}))"
+    short, one, two = has("w", ONE_CVC), has(cut(1), ONE_CHANGE), has(cut(1), TWO_CHANGES)
+    steps = (
+        f"CASE WHEN suffix(w, 'sses') OR suffix(w, 'ies') THEN {cut(2)} WHEN suffix(w, 's') AND NOT suffix(w, 'ss') THEN {cut(1)} ELSE w END",
+        f"CASE WHEN suffix(w, 'eed') THEN CASE WHEN {has(cut(3), ONE_CHANGE)} THEN {cut(1)} ELSE w END "
+        f"WHEN suffix(w, 'ed') AND {has(cut(2), HAS_VOWEL)} THEN '+' || {cut(2)} "
+        f"WHEN suffix(w, 'ing') AND {has(cut(3), HAS_VOWEL)} THEN '+' || {cut(3)} ELSE w END",
+        "ltrim(w, '+')",
+        f"CASE WHEN NOT trimmed THEN w WHEN {has('w', '(?:at|bl|iz)$')} THEN w || 'e' WHEN {double} THEN {cut(1)} WHEN {short} THEN w || 'e' ELSE w END",
+        f"CASE WHEN suffix(w, 'y') AND {has(cut(1), HAS_VOWEL)} THEN {cut(1)} || 'i' ELSE w END",
+        swap(STEP2), swap(STEP3), longest(STEP4, strip),
+        f"CASE WHEN suffix(w, 'e') AND ({two} OR ({one} AND NOT {has(cut(1), ONE_CVC)})) THEN {cut(1)} ELSE w END",
+        f"CASE WHEN suffix(w, 'll') AND {has('w', TWO_CHANGES)} THEN {cut(1)} ELSE w END",
+    )
+    ctes = [f"stem_0 AS (SELECT word, lower(word) AS w, false AS trimmed FROM {words})"]
+    for k, step in enumerate(steps):
+        ctes.append(f"stem_{k + 1} AS (SELECT word, {step} AS w, trimmed OR prefix(w, '+') AS trimmed FROM stem_{k})")
+    ctes.append(
+        "stems AS (SELECT word, CASE WHEN length(lower(word)) <= 2 THEN lower(word) ELSE w END AS stem "
+        f"FROM stem_{len(steps)})"
+    )
+    return ",\n".join(ctes)
+
+
 @F.pandas_udf(T.StringType())
 def porter_stem_udf(words: pd.Series) -> pd.Series:
     known = {w: porter_stem(w) for w in words.dropna().unique()}
@@ -123,3 +275,9 @@ def word_tokens(c: Column, remove_stop_words: bool = False) -> Column:
     if remove_stop_words:
         tokens = F.filter(tokens, lambda w: ~w.isin(*STOP_WORDS))
     return tokens
+
+
+def word_tokens_sql(text: str) -> str:
+    """`word_tokens` without stop words, for DuckDB."""
+    stops = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    return rf"list_filter(regexp_split_to_array({text}, '[^\p{{L}}\p{{N}}_]+'), lambda x: x <> '' AND x NOT IN ({stops}))"

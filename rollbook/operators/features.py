@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.names import str_similarity, words_match2
-from rollbook.functions.stems import STOP_WORDS, porter_stem_udf, word_tokens
+from rollbook.functions.stems import STOP_WORDS, stem_word, word_tokens
 from rollbook.operators.ordered import running_totals
 
 # Separators and clue words of the classifier inputs.
@@ -47,9 +47,9 @@ def word_rows(df: DataFrame, key: str, text: str, remove_stop_words: bool = Fals
 
 
 def stem_table(words: DataFrame) -> DataFrame:
-    """word -> stem for each distinct word; the Python stemmer sees each word once."""
+    """word -> stem for each distinct word, so a word is stemmed once."""
     one = words.select("word").distinct()
-    return one.withColumn("stem", porter_stem_udf(F.col("word")))
+    return one.withColumn("stem", stem_word(F.col("word")))
 
 
 def stem_rows(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions import names as N
 from rollbook.functions import terms, text, urls, vectors
+from rollbook.functions.stems import stem_sql, word_tokens_sql
 from rollbook.operators import features
 from rollbook.plans import views as V
 from rollbook.plans.q_tables import match_sql, ordered_sql, tokens_sql
@@ -496,9 +497,16 @@ def fn_dict_vector(spark, d):
     )
 
 
-@query("fn_word_stems")
+@query(
+    "fn_word_stems",
+    "WITH words AS (SELECT DISTINCT word FROM (SELECT unnest("
+    + word_tokens_sql("text")
+    + ") AS word FROM documents)),\n"
+    + stem_sql("words")
+    + " SELECT word, stem FROM stems",
+)
 def fn_word_stems(spark, d):
-    """Stem of every distinct word of the documents (Porter is not expressible in SQL)."""
+    """Stem of every distinct word of the documents that is no stop word."""
     return features.stem_table(features.word_rows(V.table(spark, d, "documents"), "doc_id", "text", True))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rollbook.functions.stems import stem_sql, word_tokens_sql
 from rollbook.operators import evaluate, features, labelling, models
 from rollbook.plans import views as V
 from rollbook.plans.q_sources import _results
@@ -121,7 +122,23 @@ def ml_vocab_features(spark, d):
     )
 
 
-@query("ml_stem_overlap")
+@query(
+    "ml_stem_overlap",
+    f"""WITH own AS (SELECT p_name AS name, lower(p_type) AS text FROM part
+      UNION SELECT p_name, text FROM benchmark JOIN part ON p_partkey = item_id + 1),
+    cand AS (SELECT doc_id || ':' || p_name AS id, p_name AS name, text FROM documents JOIN part ON p_partkey = doc_id + 1),
+    own_words AS (SELECT DISTINCT name, unnest({word_tokens_sql("text")}) AS word FROM own),
+    cand_words AS (SELECT DISTINCT id, name, unnest({word_tokens_sql("text")}) AS word FROM cand),
+    words AS (SELECT word FROM own_words UNION SELECT word FROM cand_words),
+    {stem_sql("words")},
+    own_stems AS (SELECT DISTINCT name, stem FROM own_words JOIN stems USING (word)),
+    cand_stems AS (SELECT DISTINCT id, name, stem FROM cand_words JOIN stems USING (word)),
+    shared AS (SELECT id, count(*) AS n, string_agg(stem, ' ' ORDER BY stem) AS overlap
+      FROM cand_stems JOIN own_stems USING (name, stem) GROUP BY id)
+    SELECT id, name, coalesce(n, 0)::INT AS shared, coalesce(overlap, '') AS overlap,
+      round(jaro_winkler_similarity(lower(name), lower(name || ' x')), 6) AS name_similarity
+    FROM cand LEFT JOIN shared USING (id)""",
+)
 def ml_stem_overlap(spark, d):
     """People are the part names; the document and the title of a person carry its key."""
     p, docs = V.table(spark, d, "part"), V.table(spark, d, "documents")

@@ -3,6 +3,8 @@ import random
 import re
 from urllib.parse import quote_plus, urljoin
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +192,20 @@ def test_porter():
 def test_accents(value):
     assert value(names.fold_accents(L("Žofia Łuß Æsop é ñ"))) .startswith("Zofia Luss")
     assert value(names.name_tokens(L("J.C. Salyer-Émile"))) == ["salyer", "emile"]
+
+
+def test_stem_expression_and_sql_equal_the_plain_stemmer(spark):
+    rng = random.Random(3)
+    ends = [s for s, _ in stems.STEP2 + stems.STEP3] + [*stems.STEP4, "ed", "ing", "eed", "sses", "ies", "y", "yy", "e", "ll", ""]
+    stem = lambda: "".join(rng.choice("aeioybtlszwxykc") for _ in range(rng.randint(0, 6)))
+    words = {stem() + rng.choice(ends) + rng.choice(["", "", "s", "ed", "ing", "y"]) for _ in range(5000)}
+    words |= {"y" * k + e for k in range(8) for e in ("", "ed", "ing", "y")}
+    words |= {"Élan", "ab1ing", "x_ying", "x" * 50_000 + "ing", "ay" * 30_000 + "ed"}
+    rows = spark.createDataFrame([(w,) for w in words] + [(None,)], "word string")
+    out = rows.select("word", stems.stem_word(F.col("word")).alias("stem"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {w: stems.porter_stem(w) for w in words}
+    assert {r.word: r.stem for r in out.collect()} == want | {None: None}
+    words_table = pd.DataFrame({"word": sorted(words)})  # noqa: F841
+    got = duckdb.sql(f"WITH {stems.stem_sql('words_table')} SELECT word, stem FROM stems").fetchall()
+    assert dict(got) == want
