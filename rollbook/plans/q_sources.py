@@ -77,29 +77,50 @@ def src_csv(spark, d):
 
 @query("src_term_files", V.ctes(V.V_CLASS) + "SELECT term, call_number, course_code, points FROM v_class")
 def src_term_files(spark, d):
-    """Stored terms; the term comes from the folder name, not from the rows."""
+    """Stored terms, one `<term>.json` array each; the term comes from the name of the file."""
     df = V.v_class(spark, d).select("term", "call_number", "course_code", "points")
     path = scratch_dir(spark, "terms")
-    writers.json_by_term(df, path)
+    writers.term_files(df, path, order=["course_code", "call_number"])
     schema = T.StructType([f for f in df.schema.fields if f.name != "term"])
-    return readers.term_partitions(spark, path, schema)
+    return readers.term_files(spark, path, schema, array_files=True)
+
+
+_PAGE_TREE_SQL = """SELECT 'T' || page_id % 5 AS term, split_part(url, '/', 4) AS department_code,
+      page_id::VARCHAR AS class_id, TIMESTAMP '2020-07-10 00:00:00' + to_minutes(page_id) AS ts, html FROM pages"""
+
+
+def _page_tree(spark, d):
+    """A tree of stored pages; a second crawl an hour later finds only the long pages changed."""
+    path = scratch_dir(spark, "html")
+    first = V.table(spark, d, "pages").select(
+        F.concat(F.lit("T"), (F.col("page_id") % 5).cast("string")).alias("term"),
+        F.get(F.split("url", "/"), F.lit(3)).alias("department_code"),
+        F.col("page_id").cast("string").alias("class_id"),
+        F.timestamp_seconds(F.unix_timestamp(F.lit("2020-07-10 00:00:00")) + 60 * F.col("page_id")).alias("ts"),
+        F.col("html").alias("raw_content"),
+    )
+    writers.page_tree(first, path)
+    changed = F.concat("raw_content", F.when(F.length("raw_content") > 5000, "new").otherwise(""))
+    later = F.col("ts") + F.expr("INTERVAL 1 HOUR")
+    writers.page_tree(first.withColumns({"raw_content": changed, "ts": later}), path)
+    return path
 
 
 @query(
     "src_html_pages",
-    """SELECT split_part(url, '/', 4) AS department_code, length(html) AS n, md5(html) AS digest FROM pages""",
+    f"""WITH t AS ({_PAGE_TREE_SQL}),
+    s AS (SELECT * FROM t UNION ALL
+      SELECT term, department_code, class_id, ts + INTERVAL 1 HOUR, html || 'new' FROM t WHERE length(html) > 5000)
+    SELECT term, department_code, class_id, strftime(ts, '%Y-%m-%d %H:%M') AS stored, length(html) AS n, md5(html) AS digest
+    FROM s""",
 )
 def src_html_pages(spark, d):
-    """Stored pages, one file each below their department, read back as whole texts."""
-    path = scratch_dir(spark, "html")
-    keyed = V.table(spark, d, "pages").select(
-        F.get(F.split("url", "/"), F.lit(3)).alias("department_code"), F.col("html").alias("value")
-    )
-    keyed.write.partitionBy("department_code").option("maxRecordsPerFile", 1).text(path)
-    body = F.regexp_replace("value", r"\n\z", "")  # the text writer ends the file with one
-    return spark.read.text(path, wholetext=True).select(
-        "department_code", F.length(body).alias("n"), F.md5(body).alias("digest")
-    )
+    """Pages of two crawls as they lie on disk, with what their paths say."""
+    pages = readers.raw_pages(spark, _page_tree(spark, d))
+    return pages.select(
+        "term", "department_code", "class_id", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("stored"),
+        F.length("raw_content").alias("n"), F.md5("raw_content").alias("digest"),
+    )
 
 
 @query(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,17 +58,49 @@ def term_partitions(spark: SparkSession, folder: str, schema: T.StructType) -> D
     return _or_empty(spark, full, lambda: spark.read.schema(full).json(folder))
 
 
-def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
+RAW_PAGE = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("term", "department_code", "class_id")]
+    + [T.StructField("ts", T.TimestampType()), T.StructField("raw_content", T.StringType())]
+)
+
+
+def _named(names: Sequence[str] | None) -> str:
+    """A glob for one level of a tree: any of the names as they are, or all."""
+    if names is None:
+        return "*"
+    plain = [re.sub(r"([\\*?\[\]{},])", r"\\\1", n) for n in names]
+    return "{" + ",".join(plain) + "}"
+
+
+def raw_pages(
+    spark: SparkSession,
+    folder: str,
+    terms: Sequence[str] | None = None,
+    departments: Sequence[str] | None = None,
+) -> DataFrame:
     """`<term>/<department>[/<class>]/<time>.html` files: one row per page with its path parts.
 
+    `terms` and `departments` are part of the path, so folders of others are not even listed; an
+    absent folder is an empty table, and so is an empty file, which Spark never reads.  Spark plans the tasks by the sizes of the files.
+
     Times are `2020-07-10_18:35_UTC`, or `2020-07-10_18-35_UTC` on file systems (HDFS, a local
     disk with checksums) that refuse a colon in a name.
     """
-    df = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.html")
-        .text(folder, wholetext=True)
-    )
+    wanted = folder.rstrip("/")
+    if terms is not None or departments is not None:
+        wanted += f"/{_named(terms)}/{_named(departments)}"
+    if terms == [] or departments == []:
+        return spark.createDataFrame([], RAW_PAGE)
+    try:
+        df = (
+            spark.read.option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.html")
+            .text(wanted, wholetext=True)
+        )
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RAW_PAGE)
     path = F.url_decode("_metadata.file_path")
     tail = r"/([^/]+)/([^/]+)(?:/([^/]+))?/(\d{4}-\d{2}-\d{2}_\d{2}[:-]\d{2})_UTC\.html$"
     inside = F.regexp_replace(path, "^.*?" + _literal(folder), "")

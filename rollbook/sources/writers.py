@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import flatten_join, join_pairs
 from rollbook.operators.ordered import fingerprint, join_null_safe
+from rollbook.sources import readers
+from rollbook.sources.scratch import stored
 
 # Person columns that only the JSON copy keeps.
 JSON_ONLY = ("reviews", "gscholar")
@@ -67,3 +72,86 @@ def raw_snapshots(
     parts = [k for k in ("term", "department_code") if k in keys]
     new.write.mode("append").partitionBy(*parts).parquet(path)
     return new
+
+
+def named_files(
+    rows: DataFrame, folder: str, head: str = "", between: str = "", tail: str = ""
+) -> DataFrame:
+    """Write (name, place, body) rows as one file per name below a folder, bodies in order of place.
+
+    Spark's own writers choose their names; this is for trees whose names carry meaning.  A file is
+    written by one task, batch after batch, under a name of its own and moved when complete, so a
+    repeated task replaces the file and none is ever half there.  Returns (name, n_rows), stored.
+    """
+    # a plain path or a URI of any file system Arrow knows; Hadoop writes file:/x for file:///x
+    uri = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(uri)
+        name, sink, n, hidden = None, None, 0, ""
+
+        def done() -> pa.RecordBatch:
+            sink.write(tail.encode())
+            sink.close()
+            system.move(hidden, f"{base}/{name}")
+            return pa.RecordBatch.from_pylist([{"name": name, "n_rows": n}], OUT)
+
+        for batch in batches:
+            for new, body in zip(batch.column(0), batch.column(1)):
+                if sink is None or new.as_py() != name:
+                    if sink is not None:
+                        yield done()
+                    name, n = new.as_py(), 0
+                    parent = f"{base}/{name}".rpartition("/")[0]
+                    system.create_dir(parent, recursive=True)
+                    hidden = f"{parent}/.{uuid.uuid4().hex}"
+                    sink = system.open_output_stream(hidden, compression=None)
+                    sink.write(head.encode())
+                elif between:
+                    sink.write(between.encode())
+                sink.write(body.as_py().encode())
+                n += 1
+        if sink is not None:
+            yield done()
+
+    OUT = pa.schema([("name", pa.string()), ("n_rows", pa.int64())])
+    ordered = rows.repartition("name").sortWithinPartitions("name", "place")
+    bodies = ordered.select("name", F.coalesce("body", F.lit("")).alias("body"))
+    return stored(bodies.mapInArrow(write, "name string, n_rows bigint"), "written")
+
+
+def term_files(df: DataFrame, folder: str, term: str = "term", order: Sequence[str] = ()) -> DataFrame:
+    """`<term>.json` files that hold one JSON array of records each; `order` sorts the records.
+
+    The format of other tools: a file cannot be split, so a term is one task's stream (its memory
+    is one batch).  `json_by_term` is the form for terms of any size.  Null terms are left out.
+    """
+    record = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != term]))
+    place = F.struct(*[F.col(c) for c in order], record.alias("record"))
+    name = F.concat(F.col(term), F.lit(".json"))
+    rows = df.select(name.alias("name"), place.alias("place"), record.alias("body")).where("name IS NOT NULL")
+    return named_files(rows, folder, "[\n", ",\n", "\n]\n")
+
+
+def page_tree(pages: DataFrame, folder: str) -> DataFrame:
+    """Store pages as `<term>/<department>[/<class>]/<time>.html`, as `readers.raw_pages` reads them.
+
+    `pages`: term, department_code, class_id (null for listings), ts, raw_content.  A page whose
+    text equals the last stored one of its folder is skipped, and so is a null or empty one, which
+    could not be read back; of several with one name the greatest
+    text stays.  Versions that come together are compared with the stored one only.  Returns
+    (name, n_rows) of what was written.
+    """
+    keys = ["term", "department_code", "class_id"]
+    new = pages.where("raw_content <> ''").groupBy(*keys, F.date_trunc("minute", "ts").alias("ts")).agg(
+        F.max("raw_content").alias("raw_content")
+    )
+    old = readers.raw_pages(pages.sparkSession, folder).groupBy(*keys).agg(
+        F.max_by(fingerprint(F.col("raw_content")), "ts").alias("_old")
+    )
+    new = join_null_safe(new, old, keys, "left")
+    new = new.where(~fingerprint(F.col("raw_content")).eqNullSafe(F.col("_old")))
+    time = F.concat(F.date_format("ts", "yyyy-MM-dd_HH-mm"), F.lit("_UTC.html"))
+    name = F.concat_ws("/", *keys, time)
+    rows = new.select(name.alias("name"), F.col("ts").alias("place"), F.col("raw_content").alias("body"))
+    return named_files(rows, folder)

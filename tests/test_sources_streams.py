@@ -44,6 +44,45 @@ def test_raw_pages(spark, tmp_path):
     assert {r[3] for r in got} == {dt.datetime(2020, 7, 10, 18, 35), dt.datetime(2020, 7, 11, 1, 2)}
 
 
+def test_page_tree(spark, tmp_path):
+    at = dt.datetime(2020, 7, 10, 18, 35, 20)
+    schema = "term string, department_code string, class_id string, ts timestamp, raw_content string"
+    crawl = [
+        ("2020-Fall", "COMS", None, at, "<p>a\nb</p>\n"), ("2020-Fall", "COMS", "W{1},2", at, "c\r\n"),
+        ("2020-Fall", "MATH", None, at, "m"), ("2020-Fall", "MATH", "W2", at, None), ("2021-Fall", "COMS", None, at, "d" * 100_000),
+    ]
+    folder = str(tmp_path / "tree")
+    assert readers.raw_pages(spark, folder).count() == 0
+    first = spark.createDataFrame(crawl, schema)
+    assert writers.page_tree(first, folder).count() == 4
+    assert writers.page_tree(first.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")), folder).count() == 0
+    again = spark.createDataFrame([(*crawl[0][:3], at + dt.timedelta(days=2), "new"), (*crawl[1][:3], at, "c\r\n")], schema)
+    assert [r.name for r in writers.page_tree(again, folder).collect()] == ["2020-Fall/COMS/2020-07-12_18-35_UTC.html"]
+    rows = {tuple(r) for r in readers.raw_pages(spark, folder).collect()}
+    minute = at.replace(second=0)
+    want = {(*c[:3], minute, c[4]) for c in crawl if c[4]} | {(*crawl[0][:3], minute + dt.timedelta(days=2), "new")}
+    assert rows == want
+    one = readers.raw_pages(spark, folder, terms=["2020-Fall"])
+    assert {tuple(r) for r in one.collect()} == {w for w in want if w[0] == "2020-Fall"}
+    assert all("/2020-Fall/" in f for f in one.inputFiles())
+    both = readers.raw_pages(spark, folder, ["2020-Fall", "2021-Fall", "none"], ["MATH"])
+    assert [r.department_code for r in both.collect()] == ["MATH"]
+    assert readers.raw_pages(spark, folder, ["none"]).count() == 0
+    assert readers.raw_pages(spark, folder, []).count() == 0
+
+
+def test_written_term_files(spark, tmp_path):
+    rows = [("002", "3", "2020-Fall"), ("001", None, "2020-Fall"), ("é\n\"", "4", "2021-Spring"), ("5", "5", None)]
+    df = spark.createDataFrame(rows, "call_number string, points string, term string")
+    for _ in range(2):
+        written = {r.name: r.n_rows for r in writers.term_files(df, str(tmp_path), order=["call_number"]).collect()}
+        assert written == {"2020-Fall.json": 2, "2021-Spring.json": 1}
+    assert [r["call_number"] for r in json.loads((tmp_path / "2020-Fall.json").read_text())] == ["001", "002"]
+    got = readers.term_files(spark, str(tmp_path), SMALL, array_files=True)
+    assert {tuple(r) for r in got.collect()} == set(rows[:3])
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["2020-Fall.json", "2021-Spring.json"]
+
+
 def test_flat_columns(spark):
     df = spark.createDataFrame(
         [("n", ["b", "a"], [("2021-Fall", "C 1")], ["x"])],
