@@ -2,9 +2,10 @@
 
 A page is read into blocks of text, each under its root-to-leaf path of block tags.  Text length and
 punctuation are summed per path, divided by the path's number of blocks, smoothed along the page
-and fused; paths above a share of the best are content, with the other text paths in their
-container; within an article or main, links are text like any other.  Subtrees that are page
-furniture by their tag, role or class take no part, but a class or id does not hide a wrapper.
+and fused; paths above a share of the best are content, and so is what their containers hold beside
+menus.  That a path lies in an article or main raises its ratio by the share of text that such
+elements hold; the ratios of all paths still decide.  Subtrees that are page furniture by their tag,
+role or class take no part, but a form, class or id does not hide a wrapper.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +32,17 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
+# Elements of formulas and drawings, whose text is read and which can close themselves.
+FOREIGN = frozenset(
+    "math mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable "
+    "mtd mtext mtr munder munderover semantics svg circle clippath defs ellipse g line lineargradient "
+    "marker mask path pattern polygon polyline radialgradient rect stop symbol text textpath tspan use".split()
+)
+PHRASING = INLINE | FOREIGN | frozenset("script style noscript template title annotation annotation-xml desc".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+RAW = frozenset("script style noscript template textarea title iframe object select annotation annotation-xml desc".split())
 FURNITURE = frozenset(
-    "aside audio button canvas dialog fieldset footer form head header menu nav video".split()
+    "aside audio button canvas dialog footer head header label legend menu nav video".split()
 ) | RAW
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
@@ -45,6 +54,10 @@ ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
     "toolbar".split()
 )
+# Furniture unless it wraps the text of the page.
+FORMS = ("form", "fieldset")
+# What a one-word class adds to a hint, as in "commentlist" or "navbox".
+ENDINGS = ("area", "bar", "block", "body", "box", "container", "content", "form", "group", "items", "links", "list", "section", "thread", "wrap", "wrapper")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS_ITSELF = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -80,9 +93,10 @@ class Block:
 
 
 def _furniture(name: str, attributes: str) -> tuple[bool, frozenset[str], str]:
-    """(by tag or role, hints of class and id, label for the path)."""
+    """(by tag or role, hints of class, id or being a form, label for the path)."""
+    form = frozenset({"form"} if name in FORMS else ())
     if not attributes or attributes.isspace() or attributes == "/":
-        return name in FURNITURE, frozenset(), name
+        return name in FURNITURE, form, name
     got = {}
     for m in ATTRIBUTE.finditer(attributes):
         got.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
@@ -99,10 +113,11 @@ def _furniture(name: str, attributes: str) -> tuple[bool, frozenset[str], str]:
             parts = re.split(r"[^a-z0-9]+", mark)
             if LAYOUT.isdisjoint(parts):
                 hints |= HINTS.intersection(parts)
+                hints |= {p[: -len(e)] for p in parts for e in ENDINGS if p.endswith(e) and p[: -len(e)] in HINTS}
     if name == "article":  # others' words; an article of a banner or the like is one
         hints &= OTHERS
     classes = ".".join(sorted(got.get("class", "").split()))
-    return hard, frozenset(hints), f"{name}.{classes}" if classes else name
+    return hard, form | hints, f"{name}.{classes}" if classes else name
 
 
 def blocks(page: str) -> list[Block]:
@@ -117,7 +132,7 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(p for p, _ in pieces).split())
         if text and shown():
             links = sum(len(p.strip()) for p, linked in pieces if linked)
-            path = tuple(e.path for e in stack if e.name not in INLINE)
+            path = tuple(e.path for e in stack if e.name not in PHRASING)
             root = next((e for e in stack if e.name in ROOTS), None)
             marks = tuple(e for e in stack if e.soft)
             out.append(Block(path, text, links, root is not None, root=root, marks=marks))
@@ -137,7 +152,7 @@ def blocks(page: str) -> list[Block]:
     def close(names: tuple[str, ...], within: tuple[str, ...] = ()) -> None:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k].name in names:
-                if any(e.name not in INLINE for e in stack[k:]):
+                if any(e.name not in PHRASING for e in stack[k:]):
                     flush()
                 del stack[k:]
                 return
@@ -154,6 +169,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if m[1]:
             if name not in VOID:
+                if name == "text":  # a line of a drawing
+                    pieces.append((" ", False))
                 close((name,))
             elif name == "br":
                 pieces.append((" ", False))
@@ -164,7 +181,7 @@ def blocks(page: str) -> list[Block]:
             else:
                 flush() if name == "hr" else None
             continue
-        if name not in INLINE:
+        if name not in PHRASING:
             flush()
             close(("p",), (*HOLDS["li"], "table", "dl", "div", "section", "article", "main", "body"))
             if name in ENDS_ITSELF:
@@ -193,8 +210,8 @@ def blocks(page: str) -> list[Block]:
 def _lifted(found: list[Block]) -> list[Block]:
     """Without the blocks of soft elements that are no wrappers of the page's text.
 
-    A wrapper has the title or main in it, or most of the text; the words of others may be most of a
-    page, so text alone does not lift those.
+    A wrapper has the title or main in it, or most of the text where no unmarked article or main has
+    any; the words of others may be most of a page, so text alone does not lift those.
     """
     total, inside = 0, defaultdict(int)
     for b in found:
@@ -202,29 +219,14 @@ def _lifted(found: list[Block]) -> list[Block]:
         total += own
         for e in b.marks:
             inside[id(e)] += own
+    article = any(b.in_root and not b.marks for b in found)
 
     def wraps(e: _Element) -> bool:
-        return e.titled or (2 * inside[id(e)] > total and not e.others)
+        return e.titled or (2 * inside[id(e)] > total and not e.others and not article)
 
     return [b for b in found if all(map(wraps, b.marks))]
 
 
-def _rooted(found: list[Block], share: float) -> list[Block]:
-    """The blocks of the best article or main and of those that come near it.
-
-    All blocks, if the best one does not come near what lies outside.
-    """
-    score: dict[int | None, float] = defaultdict(float)
-    for b in found:
-        own = len(b.text) - min(b.link_chars, len(b.text))
-        score[b.root and id(b.root)] += own * float(np.log2(2 + len(PUNCTUATION.findall(b.text))))
-    outside = score.pop(None, 0.0)
-    best = max(score.values(), default=0.0)
-    if not score or best < share * outside:
-        return found
-    return [b for b in found if b.root and score[id(b.root)] >= share * best]
-
-
 def _smooth(values: np.ndarray) -> np.ndarray:
     """A narrow Gaussian along the page."""
     weights = np.exp(-0.5 * np.array([-1.0, 0.0, 1.0]) ** 2)
@@ -232,42 +234,89 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, weights / weights.sum(), "valid")
 
 
-def main_blocks(found: list[Block], share: float = 0.25) -> list[Block]:
-    """Those under paths whose fused ratio is at least `share` of the best, and their container's."""
-    found = _rooted(found, share)
-    if not found:
-        return []
-    chars, points, links, count = (defaultdict(int) for _ in range(4))
+def path_scores(found: list[Block]) -> dict[tuple[str, ...], float]:
+    """The fused ratio of every path: text per block, weighted by punctuation, smoothed and less links.
+
+    Paths in an article or main count up to 64 times as much, by the square of the share of text in
+    those; ratios are not smoothed across their borders.
+    """
+    chars, points, links, count, rooted = (defaultdict(int) for _ in range(5))
     for b in found:
         chars[b.path] += len(b.text)
         points[b.path] += len(PUNCTUATION.findall(b.text))
-        links[b.path] += b.link_chars
+        links[b.path] += min(b.link_chars, len(b.text))
         count[b.path] += 1
-    length = _smooth(np.array([chars[b.path] / count[b.path] for b in found]))
-    pointed = _smooth(np.array([points[b.path] / count[b.path] for b in found]))
-    fused = length * np.log2(2 + pointed)
+        rooted[b.in_root] += len(b.text) - min(b.link_chars, len(b.text))
     score: dict[tuple[str, ...], float] = defaultdict(float)
-    for b, x in zip(found, fused.tolist()):
-        score[b.path] += x / count[b.path]
+    for _, run in groupby(found, key=lambda b: id(b.root)):
+        part = list(run)
+        length = _smooth(np.array([chars[b.path] / count[b.path] for b in part]))
+        pointed = _smooth(np.array([points[b.path] / count[b.path] for b in part]))
+        for b, x in zip(part, (length * np.log2(2 + pointed)).tolist()):
+            score[b.path] += x / count[b.path]
+    evidence = 1 + 63 * (rooted[True] / max(1, rooted[True] + rooted[False])) ** 2
     for path in score:
-        score[path] *= 1 - min(1.0, links[path] / chars[path])
+        score[path] *= 1 - links[path] / chars[path]
+        if _root(path) is not None:
+            score[path] *= evidence
+    return score
+
+
+def _tag(label: str) -> str:
+    return label.split(".")[0]
+
+
+def _root(path: tuple[str, ...]) -> int | None:
+    """Where the outermost article or main of a path is."""
+    return next((k for k, label in enumerate(path) if _tag(label) in ROOTS), None)
+
+
+def main_blocks(found: list[Block], share: float = 0.25) -> list[Block]:
+    """Blocks whose path has at least `share` of the best ratio, and what their containers hold.
+
+    The container of a path in an article or main is that element, which holds no menus, so its links
+    are text like any other.  Elsewhere it is what the best path and the title have in common, else
+    the path's parent; there, blocks that are mostly links are menus, and what follows the last
+    content block directly in the body is no content.
+    """
+    if not found:
+        return []
+    score = path_scores(found)
+    chars: dict[tuple[str, ...], int] = defaultdict(int)
+    for b in found:
+        chars[b.path] += len(b.text)
     # the best path holds the most text among those with the highest ratios
     best = max(score, key=lambda p: score[p] * chars[p])
-    threshold = share * score[best]
-    container = best[:-1]
-    root = next((k for k, x in enumerate(best) if x.split(".")[0] in ROOTS), None)
-    if root is not None:
-        container = best[: root + 1]
-
-    def content(path: tuple[str, ...]) -> bool:
-        if score[path] >= threshold:
+    chosen = {p for p in score if score[p] >= share * score[best]} | {best}
+    title = next((b.path for b in found if b.path and _tag(b.path[-1]) == "h1" and _root(b.path) is None), None)
+
+    def container(path: tuple[str, ...]) -> tuple[str, ...]:
+        root = _root(path)
+        if root is not None:
+            return path[: root + 1]
+        if path != best or title is None:
+            return path[:-1]
+        same = next((k for k, (a, b) in enumerate(zip(path, title)) if a != b), min(len(path), len(title)))
+        return path[: min(same, len(path) - 1)]
+
+    containers = {container(p) for p in chosen}
+    places = [k for k, b in enumerate(found) if b.path in chosen or b.path == title]
+    first, last = places[0], places[-1]
+
+    def content(k: int, b: Block) -> bool:
+        if b.path in chosen:
             return True
-        if path[: len(container)] != container:
-            return False
-        # links are the article's own in its container; without one, the container may hold menus
-        return root is not None or path[-1].split(".")[0] in HEADINGS or 2 * links[path] <= chars[path]
-
-    return [b for b in found if content(b.path)]
+        for c in containers:
+            if b.path[: len(c)] != c:
+                continue
+            if c and _tag(c[-1]) in ROOTS:
+                return True
+            own = b.path[-1:] and _tag(b.path[-1]) in HEADINGS or 2 * b.link_chars <= len(b.text)
+            if own and ((c and _tag(c[-1]) not in ("html", "body")) or first <= k <= last):
+                return True
+        return False
+
+    return [b for k, b in enumerate(found) if content(k, b)]
 
 
 def main_text(page: str | None) -> str:

@@ -3,7 +3,7 @@
 import html
 import re
 
-from rollbook.llm.html import extract, main_text
+from rollbook.llm.html import blocks, extract, main_blocks, main_text, path_scores
 from rollbook.llm.queries import op4_html_text
 
 SF = "/root/testdata/sf0.001"
@@ -83,3 +83,41 @@ def test_comments_are_no_article_and_wrappers_no_furniture():
             assert "The story" in main_text(f"<body><div {at}='{mark}'>{text}</div><div class='sidebar'><p>Side.</p></div>")
     two = f"<body><article>{text}</article><article>{text.replace('story', 'other')}</article>"
     assert main_text(two).count("\n\n") == 1
+
+
+LONG = "A long paragraph, with commas, that goes on. And on it goes, for quite a while, in this section."
+
+
+def test_sections_lists_tables_forms_formulas_and_comment_lists():
+    sections = f"""<body><ul><li><a href=1>Home</a><li><a href=2>News</a></ul><div class=page><h1>Title</h1>
+    <div class=sec><h2>One</h2><p>{LONG}</p></div><div class=sec2><h2>Two</h2><p>Short.</p></div>
+    <div class=more><ul><li>first<li>second</ul><table><tr><td>c1<td>c2</table></div></div><div>(c) 2020</div>"""
+    parts = ["Title", "One", LONG, "Two", "Short.", "first", "second", "c1", "c2"]
+    assert main_text(sections).split("\n\n") == parts
+    form = sections.replace("<body>", "<body><form action=/><input><label>Search</label>") + "</form>"
+    assert main_text(form).split("\n\n") == parts
+    small = f"<body><article><h1>T</h1><p>{LONG}</p><form>Your name <input></form><fieldset>Vote, please</fieldset></article>"
+    assert main_text(small).split("\n\n") == ["T", LONG]
+    formula = f"""<body><article><p>{LONG}</p><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><mspace/><annotation>x=1</annotation></math> holds
+    <svg><title>icon</title><style>a{{}}</style><path d="M0"/><text>Label</text><text>Two</text></svg> here.</p></article>"""
+    assert main_text(formula).split("\n\n") == [LONG, "So x=1 holds Label Two here."]
+    reader = "<li><p>A reader, who liked it, wrote this. And much more, and more, and more of it, too.</p>" * 5
+    for mark in ("class=commentlist", "id='comment-list'", "class='x commentthread'"):
+        page = f"<body><div class=post><h1>Title</h1><p>{LONG}</p></div><ol {mark}>{reader}</ol>"
+        assert main_text(page).split("\n\n") == ["Title", LONG]
+
+
+def test_the_ratios_decide():
+    rows = lambda mark, text: f"<div class={mark}>" + f"<p>{text}</p>" * 9 + "</div>"
+    found = blocks("<body>" + rows("a", LONG) + rows("b", "Few words") + rows("c", f"{LONG} {LONG}"))
+    score = path_scores(found)
+    ranked = sorted(score, key=score.get)
+    assert [p[-2] for p in ranked] == ["div.b", "div.a", "div.c"]
+    between = score[ranked[1]] / score[ranked[2]]
+    texts = lambda share: [b.path[-2] for b in main_blocks(found, share)]
+    assert texts(between * 1.01) == ["div.c"] * 9 and texts(between * 0.99) == ["div.a"] * 9 + ["div.c"] * 9
+    # an article that holds little of the text does not outweigh the rest, one that holds most does
+    teaser = f"<body><article><p>A teaser, short.</p></article><div class=post><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(teaser) == f"{LONG}\n\n{LONG}"
+    most = f"<body><article><p>{LONG}</p><p>{LONG}</p></article><div class=post><p>{LONG[:60]}</p></div>"
+    assert main_text(most) == f"{LONG}\n\n{LONG}"
