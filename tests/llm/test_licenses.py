@@ -25,15 +25,26 @@ def plain(text):
         )
         if best[0] >= licenses.THRESHOLD:
             found.append(best)
-    best = max(found, default=None)
-    return (licenses.TEMPLATES[-best[1]][0] if best else None), best and best[0], len(found)
+    words, windows = clean.split(), []
+    there = set(licenses.bigrams(words))
+    for k, (_, t) in enumerate(licenses.TEMPLATES):
+        own, n = set(licenses.bigrams(licenses.normal_words(t))), len(licenses.normal_words(t))
+        if 3 * len(there & own) < len(own):
+            continue  # no window can hold two thirds of the template
+        for s in range(len(words) - n + 1):
+            a = set(licenses.bigrams(words[s : s + n]))
+            dice = 2 * len(a & own) / (len(a) + len(own))
+            if dice >= licenses.THRESHOLD:
+                windows.append((dice, -k))
+    best = max(found + windows, default=None)
+    return (licenses.TEMPLATES[-best[1]][0] if best else None), best and best[0], len(found), len(windows)
 
 
 def check(rows, texts):
     assert len(rows) == len(texts)
     for r in rows:
-        name, dice, n = plain(texts[r.doc_id])
-        assert (r.license, r.n_matches) == (name, n), texts[r.doc_id]
+        name, dice, n, windows = plain(texts[r.doc_id])
+        assert (r.license, r.n_matches, r.n_windows) == (name, n, windows), texts[r.doc_id]
         assert r.dice is None if dice is None else r.dice == pytest.approx(dice)
 
 
@@ -54,3 +65,32 @@ def test_edge_rows(spark):
     twice = spark.createDataFrame([(None, texts[4]), (None, texts[4])], "doc_id long, text string")
     assert [r.license for r in licenses.scan(twice).collect()] == ["MIT", "MIT"]
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_whole_texts_and_headers(spark):
+    by_name = {}
+    for name, text in licenses.TEMPLATES:
+        by_name[name] = max(by_name.get(name, ""), text, key=len)
+    filler = "some words of a page that stand before and after it\n" * 5
+    texts, want = [], []
+    for name, text in by_name.items():
+        lines = "\n * ".join(text[i : i + 60] for i in range(0, len(text), 60))  # cut inside words too
+        for made in (text, f"{name} License\n\nCopyright (c) 2020 A. Person\n\n{text}\n", f"{filler} {text} {filler}"):
+            texts.append(made)
+            want.append(name)
+        texts.append(lines)
+        want.append(None)
+    texts += ["Welcome to our page. Released under the MIT License.", "the software " * 20_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(licenses.scan(docs).collect(), key=lambda r: r.doc_id)
+    for r, name in zip(got, want):
+        assert name is None or (r.license == name and r.dice > 0.99 and r.n_windows), (name, r)
+    assert got[-2].license == "MIT" and got[-2].n_matches == 0 and got[-1].license is None
+
+
+def test_anchors_lose_nothing():
+    for _, text in licenses.TEMPLATES:
+        own = licenses.bigrams(licenses.normal_words(text))
+        wanted = licenses.anchors(text, licenses.THRESHOLD)
+        without = len(own) - len(wanted)  # a unit of exactly these shares the most it can without an anchor
+        assert 2 * without / (len(own) + without) < licenses.THRESHOLD
