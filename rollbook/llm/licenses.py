@@ -71,33 +71,50 @@ def anchors(template: str, threshold: float) -> list[str]:
     return sorted(own, key=lambda b: (-len(b), b))[: len(own) - shared + 1]
 
 
-def _window_matches(words: Column, templates, threshold: float) -> Column:
-    """(dice, -place, start) of the windows of whole texts that reach the threshold, per template."""
+def _constant(templates, threshold: float) -> Column:
+    """The templates as one constant array, so that expressions over them are built once."""
+    rows = []
+    for k, (_, text) in enumerate(templates):
+        words = normal_words(text)
+        own = bigrams(words)
+        low, high = size_bounds(len(own), threshold)
+        listed = [f"split('{'|'.join(x)}', '[|]')" for x in (own, anchors(text, threshold))]  # letters and digits
+        rows.append(
+            f"named_struct('k', {-k}, 'n', {len(words)}, 'size', {len(own)}, 'low', {low - 1e-9}D, "
+            f"'high', {high + 1e-9}D, 'own', {listed[0]}, 'anchors', {listed[1]})"
+        )
+    return F.expr(f"array({', '.join(rows)})")
 
-    def matches(pairs: Column, k: int, text: str) -> Column:
-        own, wanted, n = bigrams(normal_words(text)), anchors(text, threshold), len(normal_words(text))
-        last = F.size(pairs) - (n - 1)  # the start of the last window
-        first = lambda i: F.greatest(F.lit(0), i - (n - 2))
 
-        def scored(start: Column) -> Column:
-            window = F.array_distinct(F.slice(pairs, start + 1, n - 1))
-            common = lambda p: F.size(F.array_intersect(p, F.array(*map(F.lit, own))))
-            dice = let(window, lambda p: F.lit(2.0) * common(p) / (F.size(p) + len(own)))
-            return F.struct(dice.alias("d"), F.lit(-k).alias("k"), start.alias("s"))
+def _dice(pairs: Column, t: Column) -> Column:
+    return F.lit(2.0) * F.size(F.array_intersect(pairs, t["own"])) / (F.size(pairs) + t["size"])
 
-        places = F.sequence(F.lit(0), F.size(pairs) - 1)
-        hits = F.filter(places, lambda i: F.get(pairs, i).isin(wanted) & (first(i) <= F.least(i, last)))
-        starts = F.flatten(F.transform(hits, lambda i: F.sequence(first(i), F.least(i, last))))
-        return F.filter(F.transform(F.array_distinct(starts), scored), lambda x: x["d"] >= threshold)
+
+def _window_matches(words: Column, hits: Column, constant: Column, threshold: float) -> Column:
+    """(dice, -place, start) of the windows that reach the threshold; hits are the places of anchors."""
 
     def of(pairs: Column) -> Column:
-        return F.concat(*[matches(pairs, k, text) for k, (_, text) in enumerate(templates)])
+        def matches(t: Column) -> Column:
+            last = F.size(pairs) - (t["n"] - 1)  # the start of the last window
+            first = lambda i: F.greatest(F.lit(0), i - (t["n"] - 2))
+
+            def scored(start: Column) -> Column:
+                window = F.array_distinct(F.slice(pairs, start + 1, t["n"] - 1))
+                return F.struct(let(window, lambda p: _dice(p, t)).alias("d"), t["k"].alias("k"), start.alias("s"))
+
+            own = F.filter(
+                hits, lambda i: F.array_contains(t["anchors"], F.get(pairs, i)) & (first(i) <= F.least(i, last))
+            )
+            starts = F.flatten(F.transform(own, lambda i: F.sequence(first(i), F.least(i, last))))
+            return F.filter(F.transform(F.array_distinct(starts), scored), lambda x: x["d"] >= threshold)
+
+        return F.flatten(F.transform(constant, matches))
 
     at = F.sequence(F.lit(0), F.size(words) - 2)
     return let(F.transform(at, lambda i: F.concat_ws(" ", words[i], words[i + 1])), of)
 
 
-def _unit_matches(unit: Column, templates, threshold: float) -> Column:
+def _unit_matches(unit: Column, constant: Column, templates, threshold: float) -> Column:
     """The best (dice, -place) among the templates for a normalised unit, or null."""
     words = F.array_remove(F.split(unit, " "), "")
 
@@ -106,15 +123,9 @@ def _unit_matches(unit: Column, templates, threshold: float) -> Column:
         return F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", w[i], w[i + 1])))
 
     def best(p: Column) -> Column:
-        found = []
-        for k, (_, text) in enumerate(templates):
-            own = bigrams(normal_words(text))
-            low, high = size_bounds(len(own), threshold)
-            common = F.size(F.array_intersect(p, F.array(*map(F.lit, own))))
-            dice = F.lit(2.0) * common / (F.size(p) + len(own))
-            fits = F.size(p).between(low - 1e-9, high + 1e-9)
-            found.append(F.when(fits, F.when(dice >= threshold, F.struct(dice.alias("d"), F.lit(-k).alias("k")))))
-        return F.array_max(F.array(*found))
+        fitting = F.filter(constant, lambda t: F.size(p).between(t["low"], t["high"]))
+        scored = F.transform(fitting, lambda t: F.struct(_dice(p, t).alias("d"), t["k"].alias("k")))
+        return F.array_max(F.filter(scored, lambda x: x["d"] >= threshold))
 
     bounds = [size_bounds(len(bigrams(normal_words(t))), threshold) for _, t in templates]
     least, most = min(b[0] for b in bounds), max(b[1] for b in bounds)
@@ -142,27 +153,32 @@ def scan(
     empty texts match nothing; repeated rows stay repeated; other columns are left out.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    clean = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
     flat = lambda x: F.translate(x, "\n", " ")
+    out = docs.select(F.col(id_col), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ").alias("__clean"))
+    clean = F.col("__clean")
+    out = out.select(id_col, clean, F.array_remove(F.split(flat(clean), " "), "").alias("__words"))
+    wanted = sorted({a for _, t in templates for a in anchors(t, threshold)})
+    hits = F.expr(
+        "filter(sequence(0, greatest(0, size(__words) - 2)), i -> concat_ws(' ', get(__words, i), get(__words, i + 1)) IN ("
+        + ", ".join(f"'{w}'" for w in wanted)  # words of letters and digits only
+        + "))"
+    )
+    out = out.select(id_col, "__clean", "__words", hits.alias("__hits"))
+    constant = _constant(templates, threshold)
     parts = F.filter(F.split(clean, r"\n *\n[ \n]*"), lambda x: F.trim(flat(x)) != "")
     lines = F.filter(F.split(clean, "\n"), lambda x: x != "")
     several = F.filter(parts, lambda x: F.trim(x, F.lit(" \n")).contains("\n"))
     whole = F.when(F.size(parts) > 1, F.array(clean)).otherwise(F.array().cast("array<string>"))
     units = F.concat(lines, F.transform(several, flat), F.transform(whole, flat))
     matched = F.filter(
-        F.transform(units, lambda u: _unit_matches(u, templates, threshold)), lambda m: m.isNotNull()
+        F.transform(units, lambda u: _unit_matches(u, constant, templates, threshold)), lambda m: m.isNotNull()
+    )
+    both = F.struct(
+        matched.alias("m"),
+        _window_matches(F.col("__words"), F.col("__hits"), constant, threshold).alias("w"),
     )
-    wanted = sorted({a for _, t in templates for a in anchors(t, threshold)})
-
-    def found(w: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(w) - 2)
-        hit = (F.size(w) > 1) & F.exists(at, lambda i: F.concat_ws(" ", w[i], w[i + 1]).isin(wanted))
-        both = F.struct(matched.alias("m"), _window_matches(w, templates, threshold).alias("w"))
-        return F.when(hit, both)
-
     names = F.array(*[F.lit(name) for name, _ in templates])
-    words = F.array_remove(F.split(flat(clean), " "), "")
-    out = docs.select(F.col(id_col), let(words, found).alias("__f"))
+    out = out.select(id_col, F.when(F.size("__hits") > 0, both).alias("__f"))
     best = F.transform("__f.w", lambda x: F.struct(x["d"].alias("d"), x["k"].alias("k")))
     out = out.select(
         id_col,
