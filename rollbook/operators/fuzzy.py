@@ -157,7 +157,7 @@ def similar_pairs(
     def blocked(df: DataFrame, c: str, longer_role: bool) -> DataFrame:
         keys = _block_keys(c, f"_l{c}", longer_role, threshold)
         rest = [x for x in df.columns if x in extra]
-        return df.select(c, *rest, F.explode(F.array_distinct(keys)).alias("_key"))
+        return _spread(df.select(c, *rest, F.explode(F.array_distinct(keys)).alias("_key")))
 
     a, b = prepared(left, "a"), prepared(right, "b")
     a_longer = blocked(a, "a", True).join(blocked(b, "b", False), "_key")
@@ -181,6 +181,12 @@ def similar_pairs(
     return pairs.select("a", "b", F.explode(reached).alias("similarity"))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table that joins never broadcast: keys shrink so well on disk and in a shuffle that Spark
+    takes hundreds of megabytes of them for a few and collects them on the driver."""
+    return df.hint("merge")
+
+
 def _spellings(df: DataFrame, column: str, out: str) -> DataFrame:
     """Distinct spellings with their ordered form and parts."""
     one = df.select(F.col(column).alias(out)).filter(F.col(out).isNotNull()).distinct()
@@ -223,11 +229,11 @@ def _keyed(catalogue: DataFrame, foreign: DataFrame) -> tuple[DataFrame, DataFra
     close = similar_pairs(f_parts.select("part"), vocabulary, N.TOKEN_SIMILARITY).select(
         F.col("a").alias("part"), F.col("b").alias("known")
     )
-    options = stored(f_parts.join(close, "part").select("f", "n", "at", "known"), "options")
+    options = stored(f_parts.join(_spread(close), "part").select("f", "n", "at", "known"), "options")
     alone = options.filter(F.col("n") == 1).select("f", F.col("known").alias("key"))
     first = options.filter(F.col("n") > 1).select("f", "at", "known")
     second = first.select("f", F.col("at").alias("at2"), F.col("known").alias("known2"))
-    both = first.join(second, "f").filter(F.col("at") < F.col("at2"))
+    both = first.join(_spread(second), "f").filter(F.col("at") < F.col("at2"))
     f_keys = alone.unionByName(both.select("f", _two(F.col("known"), F.col("known2")).alias("key")))
     f_keys = f_keys.distinct()
     return c_keys, f_keys
@@ -241,7 +247,7 @@ def _whole_pairs(
     f_wholes, c_wholes, wanted = foreign.select("whole"), catalogue.select("whole"), None
     if bounds is not None:
         # a bound counts only if every spelling of the whole name has it
-        f_wholes = foreign.join(bounds, "f", "left").groupBy("whole").agg(
+        f_wholes = foreign.join(_spread(bounds), "f", "left").groupBy("whole").agg(
             F.when(F.count("low") == F.count("*"), F.max("low")).alias("low"),
             F.when(F.count("low") == F.count("*"), F.min("high")).alias("high"),
         )
@@ -251,8 +257,8 @@ def _whole_pairs(
     close = similar_pairs(f_wholes, c_wholes, N.NAME_SIMILARITY, wanted)
     return (
         close.select(F.col("a").alias("f_whole"), F.col("b").alias("c_whole"))
-        .join(foreign.select("f", F.col("whole").alias("f_whole")), "f_whole")
-        .join(catalogue.select("c", F.col("whole").alias("c_whole")), "c_whole")
+        .join(_spread(foreign.select("f", F.col("whole").alias("f_whole"))), "f_whole")
+        .join(_spread(catalogue.select("c", F.col("whole").alias("c_whole"))), "c_whole")
         .select("c", "f")
     )
 
@@ -261,7 +267,7 @@ def fuzzy_pairs(catalogue: DataFrame, name: str, foreign: DataFrame, other: str)
     """Every matching pair of spellings (c, f)."""
     c, f = _spellings(catalogue, name, "c"), _spellings(foreign, other, "f")
     c_keys, f_keys = _keyed(c, f)
-    return c_keys.join(f_keys, "key").select("c", "f").unionByName(_whole_pairs(c, f)).distinct()
+    return _spread(c_keys).join(f_keys, "key").select("c", "f").unionByName(_whole_pairs(c, f)).distinct()
 
 
 def fuzzy_first(catalogue: DataFrame, name: str, foreign: DataFrame, other: str) -> DataFrame:
@@ -269,7 +275,7 @@ def fuzzy_first(catalogue: DataFrame, name: str, foreign: DataFrame, other: str)
     c, f = _spellings(catalogue, name, "c"), _spellings(foreign, other, "f")
     c_keys, f_keys = _keyed(c, f)
     ends = [F.min("c").alias("low"), F.max("c").alias("high")]
-    by_key = f_keys.join(c_keys.groupBy("key").agg(*ends), "key")
+    by_key = f_keys.join(_spread(c_keys.groupBy("key").agg(*ends)), "key")
     by_parts = by_key.groupBy("f").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     by_parts = stored(by_parts, "part-matches")
     whole = _whole_pairs(c, f, by_parts).groupBy("f").agg(*ends)
