@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
-from rollbook.operators import extract, fuzzy
+from rollbook.operators import extract, fuzzy, merge
 
 
 def _plan(df):
@@ -31,3 +31,22 @@ def test_titles_equal_their_sql_on_references(spark, tmp_path):
     assert got == sorted(con.execute(oracle_sql()["ext_titles"]).fetchall())
     # the operator itself still reads every reference
     assert pages.select(extract.titles(F.col("html"))["title"]).first()[0] == 'a "b" & c'
+
+
+def test_histories_are_cut_after_their_rows_are_folded(spark):
+    rows = [
+        ("2020-Fall", "1", "A 1", {"2020-10-01": "9/50"}),
+        ("2020-Fall", "1", "A 1", {"2021-02-01": "3/50"}),  # after the end of the term
+        ("2020-Fall", "1", "A 1", {"2020-10-01": "10/50"}),
+        ("2020-Fall", None, "A 1", {"2020-10-02": "1/50"}),
+    ]
+    schema = "term string, call_number string, course_code string, enrollment map<string,string>"
+    old = [("2020-Fall", "1", "A 1", {"2020-10-01": "2/50", "2020-09-01": "1/50"}),
+           ("2020-Fall", None, "A 1", {"2020-01-01": "7/50"}), ("2020-Fall", "8", "A 1", {"2020-01-01": "7/50"})]
+    keys = ["term", "call_number", "course_code"]
+    new, stored = spark.createDataFrame(rows, schema), spark.createDataFrame(old, schema)
+    first = {r.call_number: r.enrollment for r in merge.folded_histories(new, None, keys).collect()}
+    assert first == {"1": {"2020-10-01": "10/50"}, None: {"2020-10-02": "1/50"}}
+    both = {r.call_number: r.enrollment for r in merge.folded_histories(new, stored, keys).collect()}
+    assert both == {"1": {"2020-10-01": "2/50", "2020-09-01": "1/50"}, None: {"2020-10-02": "1/50"}}
+    assert "Join" not in merge.folded_histories(new, stored, keys)._jdf.queryExecution().executedPlan().toString()
