@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions import names as N
-from rollbook.functions.higher import let
+from rollbook.functions.higher import exploded, let
 from rollbook.sources.scratch import stored
 
 # Jaro-Winkler adds 0.1 per equal leading letter, at most 4.
@@ -157,7 +157,7 @@ def similar_pairs(
     def blocked(df: DataFrame, c: str, longer_role: bool) -> DataFrame:
         keys = _block_keys(c, f"_l{c}", longer_role, threshold)
         rest = [x for x in df.columns if x in extra]
-        return _spread(df.select(c, *rest, F.explode(F.array_distinct(keys)).alias("_key")))
+        return _spread(exploded(df, F.array_distinct(keys), "_key").select(c, *rest, "_key"))
 
     a, b = prepared(left, "a"), prepared(right, "b")
     a_longer = blocked(a, "a", True).join(blocked(b, "b", False), "_key")
@@ -178,7 +178,7 @@ def similar_pairs(
     pairs = once.filter(let(shared, lambda m: m / la + m / lb >= least))
     # a filter on a column would compute it a second time
     reached = F.filter(F.array(N.jaro_winkler_of(F.col("a"), F.col("b"))), lambda s: s >= threshold)
-    return pairs.select("a", "b", F.explode(reached).alias("similarity"))
+    return exploded(pairs.select("a", "b"), reached, "similarity")
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -219,7 +219,7 @@ def _pair_keys(parts: Column) -> Column:
 def _keyed(catalogue: DataFrame, foreign: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(catalogue spelling, key) and (foreign spelling, key); equal keys are matches."""
     c_parts = catalogue.select("c", F.array_distinct("parts").alias("parts"))
-    c_keys = c_parts.select("c", F.explode(_pair_keys(F.col("parts"))).alias("key")).unionByName(
+    c_keys = exploded(c_parts, _pair_keys(F.col("parts")), "key").select("c", "key").unionByName(
         c_parts.select("c", F.explode("parts").alias("key"))
     )
 

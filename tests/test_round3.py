@@ -50,3 +50,26 @@ def test_histories_are_cut_after_their_rows_are_folded(spark):
     both = {r.call_number: r.enrollment for r in merge.folded_histories(new, stored, keys).collect()}
     assert both == {"1": {"2020-10-01": "2/50", "2020-09-01": "1/50"}, None: {"2020-10-02": "1/50"}}
     assert "Join" not in merge.folded_histories(new, stored, keys)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exploded_items_are_computed_once(spark):
+    pages = spark.createDataFrame([("https://x.example/COMS_Fall2020.html", "<tr><a href='../subj/a/1'>x</a>")], "url string, html string")
+    def filters(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return [line for line in plan.splitlines() if "Filter" in line and "size(" in line]
+    assert filters(extract.listing_links(pages)) == []
+    assert [r.link for r in extract.listing_links(pages).collect()] == ["https://x.example/subj/a/1"]
+    assert filters(extract.links_containing(pages)) == []
+
+
+def test_value_cells_read_alike_by_both_ways(spark):
+    cells = ["\n <td>x &amp; y</td>", "<td></td>", "<td> </td> <td>b</td>", "x", "", "<td>a<br>b</td>", "<td><b>&nbsp;q </b></td>\n ",
+             "<td>a</td>\n<td>b</td>", " <td>a</td> <i></i>", "a<td>b", "<td>&lt;</td> </x>\t"]
+    rows = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = rows.select(extract.value_text(F.col("c")), extract._pieces_text(F.col("c"))).collect()
+    assert [r[0] for r in got] == [r[1] for r in got]
+
+
+def test_profile_is_spread_before_it_is_parsed(spark):
+    plan = queries()["ext_profile"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "isnotnull(reviews" not in plan
