@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from rollbook.operators import extract, fuzzy, merge
+from rollbook.operators import stored as stored_terms
 
 
 def _plan(df):
@@ -73,3 +74,17 @@ def test_value_cells_read_alike_by_both_ways(spark):
 def test_profile_is_spread_before_it_is_parsed(spark):
     plan = queries()["ext_profile"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in plan and "isnotnull(reviews" not in plan
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    assert [stored_terms.buckets_for(n) for n in (0, 600_000, 36_000_000, 216_000_000)] == [8, 8, 90, 540]
+    sf = "/root/testdata/sf0.001"
+    want = sorted(tuple(r) for r in queries()["merge_stored_terms"](spark, sf).collect())
+    monkeypatch.setattr(stored_terms, "ROWS_PER_BUCKET", 500)
+    asked = []
+    made = stored_terms.BucketedTable.__init__
+    monkeypatch.setattr(
+        stored_terms.BucketedTable, "__init__", lambda self, *a: (asked.append(a[-1]), made(self, *a))[1]
+    )
+    got = sorted(tuple(r) for r in queries()["merge_stored_terms"](spark, sf).collect())
+    assert got == want and asked == [12, 12]
