@@ -484,9 +484,9 @@ def merge_term(spark, d):
     """The whole merge: keep-old, history overlay, cut-off after the term."""
     new = _second_crawl(spark, d)
     merged = merge.merge_term(new, _class(spark, d, *_MERGED), V.v_enrollment_old(spark, d))
-    return merged.enrollment.select(
-        "term", "call_number", "course_code", F.explode("enrollment").alias("date", "seen")
-    )
+    # a plain explode infers a filter that would compute every history a second time
+    dates = F.explode_outer("enrollment").alias("date", "seen")
+    return merged.enrollment.select("term", "call_number", "course_code", dates).where("date IS NOT NULL")
 
 
 @query(

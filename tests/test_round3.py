@@ -88,3 +88,9 @@ def test_buckets_follow_the_rows(spark, monkeypatch):
     )
     got = sorted(tuple(r) for r in queries()["merge_stored_terms"](spark, sf).collect())
     assert got == want and asked == [12, 12]
+
+
+def test_merged_histories_are_computed_once(spark):
+    plan = queries()["merge_term"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast") + plan.count("map_filter") + plan.count("mapfilter") > 0
+    assert not [x for x in plan.splitlines() if "Filter" in x and "map_filter" in x.lower() and "make_date" in x.lower()]
