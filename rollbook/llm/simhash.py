@@ -38,11 +38,8 @@ def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
     return np.array([hash_of(joined[a:b], SEED) for a, b in spans], "<u8")
 
 
-def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
-    """The unsigned fingerprint of a whole text; zero for a text without words."""
-    if not (text or "").strip(" \t\n\x0b\f\r"):
-        return 0
-    hashes = shingle_hashes(text, shingle_words)
+def voted(hashes: np.ndarray) -> int:
+    """The unsigned fingerprint of shingle hashes, repeats included: bits set in over half of them."""
     votes = np.zeros(64, np.int64)
     for i in range(0, len(hashes), VOTES_AT_ONCE):
         bits = np.unpackbits(hashes[i : i + VOTES_AT_ONCE].view(np.uint8), bitorder="little")
@@ -50,6 +47,13 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(hashes), bitorder="little"), "little")
 
 
+def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
+    """The unsigned fingerprint of a whole text; zero for a text without words."""
+    if not (text or "").strip(" \t\n\x0b\f\r"):
+        return 0
+    return voted(shingle_hashes(text, shingle_words))
+
+
 def fingerprints(
     docs: DataFrame,
     id_col: str = "doc_id",
