@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rollbook.functions.names import str_similarity, words_match2
 from rollbook.functions.stems import STOP_WORDS, stem_word, word_tokens
 from rollbook.operators.ordered import running_totals
+from rollbook.sources.scratch import stored
 
 # Separators and clue words of the classifier inputs.
 SEARCH_FROM, SEARCH_SEP = " from departments of", "[SEP]"
@@ -47,8 +48,12 @@ def word_rows(df: DataFrame, key: str, text: str, remove_stop_words: bool = Fals
 
 
 def stem_table(words: DataFrame) -> DataFrame:
-    """word -> stem for each distinct word, so a word is stemmed once."""
-    one = words.select("word").distinct()
+    """word -> stem for each distinct word, so a word is stemmed once.
+
+    Few bytes and much work: a fixed number of tasks, which sizes alone would merge into one.
+    """
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = words.select("word").distinct().repartition(parts, "word")
     return one.withColumn("stem", stem_word(F.col("word")))
 
 
@@ -99,10 +104,14 @@ def stem_overlap(
         .unionByName(titles.select("name", F.col("title").alias("text")))
         .distinct()
     )
-    own_stems = stem_rows(own, "name", "text", remove_stop_words=True)
-    their_stems = stem_rows(candidates.select("id", "interests"), "id", "interests", True)
+    # few words and much text on the other side: only words whose stem some person has go further
+    own_stems = stored(stem_rows(own, "name", "text", remove_stop_words=True), "stems")
+    words = candidates.select(
+        "id", "name", F.explode(F.array_distinct(word_tokens(F.col("interests")))).alias("word")
+    ).where(~F.col("word").isin(*STOP_WORDS))
+    known = stem_table(words).join(own_stems.select("stem").distinct(), "stem", "left_semi")
     shared = (
-        their_stems.join(candidates.select("id", "name"), "id")
+        words.join(stored(known, "known"), "word")
         .join(own_stems, ["name", "stem"])
         .groupBy("id")
         .agg(F.array_sort(F.collect_set("stem")).alias("overlap"))

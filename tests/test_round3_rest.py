@@ -23,3 +23,14 @@ def test_crawl_merge_parses_only_what_is_read(spark, monkeypatch):
     assert whole.enrollment.count() > 0 and slim.enrollment.count() == 0
 
 
+def test_stem_overlap_joins_few_words(spark):
+    cand = [("1", "A", "A x", "histories of physics"), ("1", "B", "B x", "physics"), ("2", "A", "A x", "the relics")]
+    cand = spark.createDataFrame(cand, "id string, name string, found string, interests string")
+    people = spark.createDataFrame([("A", "history"), ("B", "history")], "name string, department string")
+    titles = spark.createDataFrame([("A", "a relic")], "name string, title string")
+    out = features.stem_overlap(cand, people, titles)
+    # a text meets the stems of the person of its own row, as in the SQL
+    assert sorted((r.id, r.name, r.overlap) for r in out.collect()) == [
+        ("1", "A", ["histori"]), ("1", "B", ["histori"]), ("2", "A", ["relic"])]
+    plan = features.stem_table(cand.select(F.col("interests").alias("word")))._jdf.queryExecution().optimizedPlan()
+    assert "RepartitionByExpression" in plan.toString()  # few bytes would be merged into one task
