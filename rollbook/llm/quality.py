@@ -180,14 +180,19 @@ def thresholds(
 
 
 def judge(
-    counted: DataFrame, by=("lang", "source"), fences=FENCES, width: float = WIDTH
+    counted: DataFrame,
+    by=("lang", "source"),
+    fences=FENCES,
+    width: float = WIDTH,
+    limits: DataFrame | None = None,
 ) -> DataFrame:
     """Add base_failed and kept to rows of `with_counts`, which should be a stored table.
 
     Null languages and sources are a group like any other.  Rows are judged one by one, so
-    repeated ids and rows stay as they are, and no rows give no rows.
+    repeated ids and rows stay as they are, and no rows give no rows.  `limits` are the `thresholds`
+    of the rows if they are known; then rows are read once and need not be stored.
     """
-    limits = thresholds(counted, by, fences, width)
+    limits = thresholds(counted, by, fences, width) if limits is None else limits
     limits = limits.select(
         *[F.col(c).alias(f"__{c}") for c in by],
         F.struct(*[c for c in limits.columns if c not in by]).alias("__limits"),
