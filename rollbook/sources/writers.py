@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,26 +77,47 @@ def raw_snapshots(
 
 
 def named_files(
-    rows: DataFrame, folder: str, head: str = "", between: str = "", tail: str = ""
+    rows: DataFrame,
+    folder: str,
+    head: str = "",
+    between: str = "",
+    tail: str = "",
+    by: Sequence[str] = (),
+    pieces: int = 1,
 ) -> DataFrame:
     """Write (name, place, body) rows as one file per name below a folder, bodies in order of place.
 
     Spark's own writers choose their names; this is for trees whose names carry meaning.  A file is
     written by one task, batch after batch, under a name of its own and moved when complete, so a
     repeated task replaces the file and none is ever half there.  Returns (name, n_rows), stored.
+
+    With `pieces` the rows are sorted in so many ranges of (name, the columns `by`, which the order
+    of place begins with); each is written as parts of its files, and the task of a file only strings
+    its parts together, so it sorts and holds nothing.
     """
     # a plain path or a URI of any file system Arrow knows; Hadoop writes file:/x for file:///x
     uri = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
+    parts = f".parts-{uuid.uuid4().hex}"
+
+    def place_of(system: fs.FileSystem, base: str, name: str) -> str:
+        """A new hidden file next to where the file of that name goes."""
+        parent = f"{base}/{name}".rpartition("/")[0]
+        system.create_dir(parent, recursive=True)
+        return f"{parent}/.{uuid.uuid4().hex}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(uri)
         name, sink, n, hidden = None, None, 0, ""
+        whole = pieces == 1
+        at = TaskContext.get().partitionId()
 
         def done() -> pa.RecordBatch:
-            sink.write(tail.encode())
+            if whole:
+                sink.write(tail.encode())
             sink.close()
-            system.move(hidden, f"{base}/{name}")
-            return pa.RecordBatch.from_pylist([{"name": name, "n_rows": n}], OUT)
+            if whole:
+                system.move(hidden, f"{base}/{name}")
+            return pa.RecordBatch.from_pylist([{"name": name, "n_rows": n, "at": at, "part": hidden}], PART)
 
         for batch in batches:
             for new, body in zip(batch.column(0), batch.column(1)):
@@ -102,11 +125,10 @@ def named_files(
                     if sink is not None:
                         yield done()
                     name, n = new.as_py(), 0
-                    parent = f"{base}/{name}".rpartition("/")[0]
-                    system.create_dir(parent, recursive=True)
-                    hidden = f"{parent}/.{uuid.uuid4().hex}"
+                    hidden = place_of(system, base, name if whole else f"{parts}/part")
                     sink = system.open_output_stream(hidden, compression=None)
-                    sink.write(head.encode())
+                    if whole:
+                        sink.write(head.encode())
                 elif between:
                     sink.write(between.encode())
                 sink.write(body.as_py().encode())
@@ -114,23 +136,56 @@ def named_files(
         if sink is not None:
             yield done()
 
+    def string_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(uri)
+        listed = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for name, own in groupby(listed, key=lambda row: row[0]):
+            hidden, n = place_of(system, base, name), 0
+            with system.open_output_stream(hidden, compression=None) as sink:
+                for k, (_, n_rows, part) in enumerate(own):
+                    sink.write((between if k else head).encode())
+                    with system.open_input_stream(part, compression=None) as source:
+                        while block := source.read(1 << 20):
+                            sink.write(block)
+                    n += n_rows
+                sink.write(tail.encode())
+            system.move(hidden, f"{base}/{name}")
+            yield pa.RecordBatch.from_pylist([{"name": name, "n_rows": n}], OUT)
+
     OUT = pa.schema([("name", pa.string()), ("n_rows", pa.int64())])
-    ordered = rows.repartition("name").sortWithinPartitions("name", "place")
-    bodies = ordered.select("name", F.coalesce("body", F.lit("")).alias("body"))
-    return stored(bodies.mapInArrow(write, "name string, n_rows bigint"), "written")
+    PART = pa.schema([*OUT, ("at", pa.int64()), ("part", pa.string())])
+    dealt = rows.repartition("name") if pieces == 1 else rows.repartitionByRange(pieces, "name", *by)
+    bodies = dealt.sortWithinPartitions("name", "place").select("name", F.coalesce("body", F.lit("")).alias("body"))
+    made = bodies.mapInArrow(write, "name string, n_rows bigint, at bigint, part string")
+    if pieces == 1:
+        return stored(made.select("name", "n_rows"), "written")
+    made = stored(made, "parts")
+    listed = made.repartition("name").sortWithinPartitions("name", "at").select("name", "n_rows", "part")
+    out = stored(listed.mapInArrow(string_together, "name string, n_rows bigint"), "written")
+    path = rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{parts}")
+    path.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return out
+
 
+ROWS_PER_PIECE = 400_000
 
-def term_files(df: DataFrame, folder: str, term: str = "term", order: Sequence[str] = ()) -> DataFrame:
+
+def term_files(
+    df: DataFrame, folder: str, term: str = "term", order: Sequence[str] = (), rows_per_piece: int = ROWS_PER_PIECE
+) -> DataFrame:
     """`<term>.json` files that hold one JSON array of records each; `order` sorts the records.
 
-    The format of other tools: a file cannot be split, so a term is one task's stream (its memory
-    is one batch).  `json_by_term` is the form for terms of any size.  Null terms are left out.
+    The format of other tools: a file cannot be split, so one task strings a term together from parts
+    that were sorted and written in pieces of about `rows_per_piece` rows.  `json_by_term` is the
+    form for terms of any size.  Null terms are left out.
     """
     record = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != term]))
     place = F.struct(*[F.col(c) for c in order], record.alias("record"))
     name = F.concat(F.col(term), F.lit(".json"))
-    rows = df.select(name.alias("name"), place.alias("place"), record.alias("body")).where("name IS NOT NULL")
-    return named_files(rows, folder, "[\n", ",\n", "\n]\n")
+    by = [F.col(c).alias(f"by{k}") for k, c in enumerate(order)]
+    rows = df.select(name.alias("name"), place.alias("place"), record.alias("body"), *by).where("name IS NOT NULL")
+    pieces = max(1, -(-df.count() // rows_per_piece))
+    return named_files(rows, folder, "[\n", ",\n", "\n]\n", [f"by{k}" for k in range(len(by))], pieces)
 
 
 def page_tree(pages: DataFrame, folder: str) -> DataFrame:
