@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook import schemas
+from rollbook.sources.buckets import settings
 
 
 def _or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
@@ -72,6 +73,18 @@ def _named(names: Sequence[str] | None) -> str:
     return "{" + ",".join(plain) + "}"
 
 
+def tree_settings(spark: SparkSession) -> dict[str, str]:
+    """Options for trees of many small files in many folders.
+
+    By its own options Spark lists each folder in a task of its own and counts a file as 4 MB when it
+    deals files to tasks, which for pages costs far more than to list and read them.
+    """
+    return {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+        "spark.sql.files.openCostInBytes": str(256 << 10),
+    }
+
+
 def raw_pages(
     spark: SparkSession,
     folder: str,
@@ -92,11 +105,12 @@ def raw_pages(
     if terms == [] or departments == []:
         return spark.createDataFrame([], RAW_PAGE)
     try:
-        df = (
-            spark.read.option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.html")
-            .text(wanted, wholetext=True)
-        )
+        with settings(spark, tree_settings(spark)):  # folders are listed here
+            df = (
+                spark.read.option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.html")
+                .text(wanted, wholetext=True)
+            )
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

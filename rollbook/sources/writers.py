@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rollbook.functions.text import flatten_join, join_pairs
 from rollbook.operators.ordered import fingerprint, join_null_safe
 from rollbook.sources import readers
+from rollbook.sources.buckets import settings
 from rollbook.sources.scratch import stored
 
 # Person columns that only the JSON copy keeps.
@@ -209,4 +210,5 @@ def page_tree(pages: DataFrame, folder: str) -> DataFrame:
     time = F.concat(F.date_format("ts", "yyyy-MM-dd_HH-mm"), F.lit("_UTC.html"))
     name = F.concat_ws("/", *keys, time)
     rows = new.select(name.alias("name"), F.col("ts").alias("place"), F.col("raw_content").alias("body"))
-    return named_files(rows, folder)
+    with settings(pages.sparkSession, readers.tree_settings(pages.sparkSession)):  # the stored pages are read here
+        return named_files(rows, folder)

@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from rollbook.sources import readers, writers
 
 
@@ -20,3 +22,18 @@ def test_term_files_in_pieces(spark, tmp_path):
         map(str, df.where("term IS NOT NULL").collect())
     )
 
+
+def test_page_tree_is_listed_and_read_in_few_tasks(spark, tmp_path):
+    pages = spark.range(300).select(
+        F.lit("T").alias("term"), F.lit("D").alias("department_code"), F.col("id").cast("string").alias("class_id"),
+        F.timestamp_seconds(F.lit(1_599_999_960)).alias("ts"), F.concat(F.lit("page "), "id").alias("raw_content"),
+    )
+    folder = str(tmp_path / "tree")
+    writers.page_tree(pages, folder)
+    spark.sparkContext.setJobGroup("list", "list")
+    back = readers.raw_pages(spark, folder)
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("list") for s in status.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism < 300
+    assert sorted(map(str, back.collect())) == sorted(map(str, pages.collect()))
