@@ -23,16 +23,23 @@ JSON_ONLY = ("reviews", "gscholar")
 
 
 def json_by_term(
-    df: DataFrame, path: str, term: str = "term", mode: str = "overwrite", rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    term: str = "term",
+    mode: str = "overwrite",
+    rebalance: bool = True,
+    compression: str = "gzip",
 ) -> None:
-    """JSON lines in one folder per term.
+    """JSON lines in one folder per term, compressed unless `compression` is "none".
+
+    A compressed file is read by one task; rebalanced files are small enough for that.
 
     Rows are rebalanced by term first, so a term gets files of a sensible size, and a large
     term several tasks, instead of one file per task and term. Pass `rebalance=False` to
     keep the order of rows that are sorted already.
     """
     out = df.hint("rebalance", term) if rebalance else df
-    out.write.mode(mode).partitionBy(term).json(path)
+    out.write.mode(mode).partitionBy(term).option("compression", compression).json(path)
 
 
 def flat_columns(df: DataFrame, json_only: Sequence[str] = JSON_ONLY) -> DataFrame:

@@ -37,3 +37,13 @@ def test_page_tree_is_listed_and_read_in_few_tasks(spark, tmp_path):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert stages and max(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism < 300
     assert sorted(map(str, back.collect())) == sorted(map(str, pages.collect()))
+
+
+def test_json_by_term_is_compressed(spark, tmp_path):
+    df = spark.range(500).select((F.col("id") % 3).cast("string").alias("term"), F.col("id").cast("string").alias("text"))
+    for folder, options, end in (("a", {}, ".json.gz"), ("b", {"compression": "none"}, ".json")):
+        writers.json_by_term(df, f"{tmp_path}/{folder}", **options)
+        files = [p.name for p in (tmp_path / folder).glob("term=*/part-*")]
+        assert files and all(f.endswith(end) for f in files)
+        back = readers.term_partitions(spark, f"{tmp_path}/{folder}", df.select("text").schema)
+        assert sorted(map(tuple, back.select("term", "text").collect())) == sorted(map(tuple, df.collect()))
