@@ -4,6 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
+from rollbook.functions import terms
+from rollbook.operators import merge
 from rollbook.sources import readers, writers
 
 
@@ -47,3 +49,23 @@ def test_json_by_term_is_compressed(spark, tmp_path):
         assert files and all(f.endswith(end) for f in files)
         back = readers.term_partitions(spark, f"{tmp_path}/{folder}", df.select("text").schema)
         assert sorted(map(tuple, back.select("term", "text").collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_history_of_one_date_is_not_read(spark):
+    """Its cut is the history itself, so the end of the term is not asked for."""
+    one = spark.sql("SELECT map('2021-01-02', '1/9') AS h")
+    cut = terms.map_cutoff(F.col("h"), F.raise_error(F.lit("read")).cast("date"))
+    assert one.select(cut.alias("h")).first().h == {"2021-01-02": "1/9"}
+
+
+def test_stored_value_wins_over_a_larger_new_one(spark):
+    schema = "term string, call_number string, enrollment map<string,string>"
+    day, later, late = "2021-01-02", "2021-02-02", "2029-01-01"
+    new = [("2021-Fall", "a", {day: "9/9"}), ("2021-Fall", "b", {later: "9/9"}), ("2021-Fall", "c", {late: "3/9"}),
+           ("2021-Fall", "d", {day: "10/9"}), ("2021-Fall", "d", {day: "9/9"})]
+    old = [("2021-Fall", "a", {day: "1/9"}), ("2021-Fall", "b", {day: "1/9"})]
+    out = merge.folded_histories(
+        spark.createDataFrame(new, schema), spark.createDataFrame(old, schema), ["term", "call_number"]
+    )
+    assert {r.call_number: r.enrollment for r in out.collect()} == {
+        "a": {day: "1/9"}, "b": {day: "1/9", later: "9/9"}, "c": {late: "3/9"}, "d": {day: "10/9"}}
