@@ -5,6 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from rollbook.operators import stored as stored_terms
 from rollbook.plans import q_streams
 from rollbook.sources.buckets import CODEC, SHUFFLE_CLEANUP
 from rollbook.sources.scratch import scratch_dir, stored
@@ -95,3 +96,29 @@ def test_batch_repeated_after_its_classes_were_replaced(spark, tmp_path, monkeyp
     for table in ("classes", "enrollment", "people"):
         a, b = (sorted(map(str, getattr(job, table)(spark).collect())) for job in jobs_)
         assert a == b and a
+
+
+def test_merged_terms_are_copied_one_table_at_a_time(spark, monkeypatch):
+    """The copy of the classes goes before the histories are written."""
+    rows = crawl(spark)
+    kept = stored_terms.StoredTerms(spark, scratch_dir(spark, "terms"), rows.schema, buckets=2)
+    there, copies = [], []
+
+    def copy(df, name):
+        copies.append(stored(df, name))
+        return copies[-1]
+
+    replace = stored_terms.BucketedTable.replace_terms
+
+    def replaced(self, *args):
+        there.append(sum(os.path.exists(c.stored_at.removeprefix("file:")) for c in copies))
+        before = shuffle_files(spark)
+        replace(self, *args)
+        assert not left(spark, before)
+
+    monkeypatch.setattr(stored_terms, "stored", copy)
+    monkeypatch.setattr(stored_terms.BucketedTable, "replace_terms", replaced)
+    kept.merge(rows)
+    assert there == [2, 1]
+    assert kept.histories().count() == kept.classes.read().count() == 40
+    kept.close()
