@@ -31,8 +31,8 @@ def crawl_merge(
 ) -> Crawl:
     """Class pages (term, url, html) -> class rows -> merge with what is stored -> people.
 
-    Pages are parsed once into a stored table; people are those of the merged classes and the
-    people known before.  `columns` are the class columns that the caller reads (default: all);
+    Pages are parsed once into a stored table, and so are the merged classes; people are those of the
+    merged classes and the people known before.  `columns` are the class columns that the caller reads (default: all);
     besides those that the merge and the people need, no other is parsed out of the pages.  New
     histories are there if `enrollment` is one of them.
     """
@@ -46,8 +46,5 @@ def crawl_merge(
         dedupe_right=True,
         history_keys=("term", "call_number", "course_code"),
     )
-    return Crawl(
-        merged.classes,
-        merged.enrollment,
-        merge.people_rollup(merged.classes, previous_people),
-    )
+    classes = stored(merged.classes, "merged")
+    return Crawl(classes, merged.enrollment, merge.people_rollup(classes, previous_people))

@@ -31,7 +31,7 @@ def job_crawl_merge(spark, d):
         "department",
         "instructor",
     )
-    done = jobs.crawl_merge(class_pages(spark, d, classes=V.v_new(spark, d)), old, columns=old.columns)
+    done = jobs.crawl_merge(class_pages(spark, d, classes=V.v_new(spark, d, spread=True)), old, columns=old.columns)
     totals = done.people.select(
         "name", F.size("departments").alias("departments"), F.size("classes").alias("taught")
     )

@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from rollbook.operators import stored as stored_terms
+from rollbook.operators import jobs, stored as stored_terms
 from rollbook.plans import q_streams
 from rollbook.sources.buckets import CODEC, SHUFFLE_CLEANUP
 from rollbook.sources.scratch import scratch_dir, stored
@@ -122,3 +122,26 @@ def test_merged_terms_are_copied_one_table_at_a_time(spark, monkeypatch):
     assert there == [2, 1]
     assert kept.histories().count() == kept.classes.read().count() == 40
     kept.close()
+
+
+def test_merged_classes_are_stored_once(spark, monkeypatch):
+    """People and classes of a crawl read one table, so that the merge is not computed for each."""
+    made = []
+    monkeypatch.setattr(jobs, "stored", lambda df, name: (made.append(name), stored(df, name))[1])
+    url, cells = "https://d.example.org/subj/X/W1/", "<tr><th>Department</th><td>Dep</td></tr><tr><th>Instructor</th><td>Ann</td></tr>"
+    pages = spark.createDataFrame([("2020-Fall", url, f"<h1>t</h1><table>{cells}</table>")], "term string, url string, html string")
+    old = crawl(spark).drop("enrollment")
+    done = jobs.crawl_merge(pages, old, columns=old.columns)
+    assert made == ["records", "merged"]
+    assert done.classes.count() == 41
+    assert {r.name for r in done.people.collect()} == {"Ann", *(f"P{i}" for i in range(5))}
+
+
+def test_line_items_are_spread_before_the_joins(spark, tmp_path):
+    """While they are numbers: a shuffled page row holds no text made by the view."""
+    from rollbook.plans import q_pages
+
+    sf = "/root/testdata/sf0.001"
+    plan = q_pages.class_pages(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan.split("RebalancePartitions")[1]
+    assert plan.count("RebalancePartitions") == 1 and "Join" not in dealt.split("Relation")[0]
