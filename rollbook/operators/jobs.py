@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from rollbook.operators import extract, merge
+from rollbook.sources import scratch
 from rollbook.sources.scratch import stored
 
 
@@ -46,5 +47,5 @@ def crawl_merge(
         dedupe_right=True,
         history_keys=("term", "call_number", "course_code"),
     )
-    classes = stored(merged.classes, "merged")
+    classes = scratch.stored(merged.classes, "merged")
     return Crawl(classes, merged.enrollment, merge.people_rollup(classes, previous_people))
